@@ -17,15 +17,20 @@ triangle inequality prunes:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import materialise
 
+# Ship the helpers below with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_POINTS = 2_048
 CELL_POINTS = 512
 MAX_PIVOTS = 1_024
@@ -113,7 +118,7 @@ def _own_bound(d2: np.ndarray, n_ids: np.ndarray, need: int) -> np.ndarray:
 
 
 def _best_per_query(d2: np.ndarray, ids: list, need: int):
-    """(query, point, id, squared distance) of the ``need`` nearest ids of every query."""
+    """(query, point, id, tie, squared distance) of the ``need`` nearest ids of every query."""
     rounded = np.round(d2, TIE_DIGITS)
     near = min(need, d2.shape[1])
     limit = np.partition(rounded, near - 1, axis=1)[:, near - 1]
@@ -125,8 +130,10 @@ def _best_per_query(d2: np.ndarray, ids: list, need: int):
     offset = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
     picked = flat_ids[np.repeat(starts[point], times) + offset]
     query, point = np.repeat(query, times), np.repeat(point, times)
-    frame = pd.DataFrame({"q": query, "p": point, "id": picked, "d2": rounded[query, point]})
-    frame = frame.sort_values(["q", "d2", "id"], kind="stable")
+    frame = pd.DataFrame(
+        {"q": query, "p": point, "id": picked, "tie": rounded[query, point], "d2": d2[query, point]}
+    )
+    frame = frame.sort_values(["q", "tie", "id"], kind="stable")
     return frame[frame.groupby("q").cumcount() < need]
 
 
@@ -141,7 +148,7 @@ def k_nearest(
     cell_points: int = CELL_POINTS,
 ) -> DataFrame:
     """One row per input row: ``id``, its point ``x`` (numbers, then codes) and ``vizinhos``, an
-    array of (d2, id, x) of its ``k`` nearest other rows, nearest first. ``key`` is unique."""
+    array of (tie, id, d2, x) of its ``k`` nearest other rows, nearest first. ``key`` is unique."""
     n_num, need, mismatch = len(numeric), k + 1, float(mismatch)
     coordinates = [F.col(c).cast("double") for c in [*numeric, *categorical]]
     rows = materialise(
@@ -153,7 +160,7 @@ def k_nearest(
     chosen = points.orderBy(F.xxhash64("x"), "x").limit(n_pivots).select("x").collect()
     if not chosen:
         return rows.withColumn(
-            "vizinhos", F.expr("cast(array() as array<struct<d2:double,id:string,x:array<double>>>)")
+            "vizinhos", F.expr("cast(array() as array<struct<tie:double,id:string,d2:double,x:array<double>>>)")
         )
     pivots = _matrix([c["x"] for c in chosen])
 
@@ -210,6 +217,7 @@ def k_nearest(
                 yield pd.DataFrame(
                     {
                         "x": list(asked[best["q"]]),
+                        "tie": best["tie"].to_numpy(),
                         "d2": best["d2"].to_numpy(),
                         "id": best["id"].to_numpy(),
                         "nx": list(x[best["p"]]),
@@ -217,13 +225,15 @@ def k_nearest(
                 )
 
     found = queries.join(blocks, ["cell", "part"]).select("queries", "members")
-    found = found.mapInPandas(meet, "x array<double>, d2 double, id string, nx array<double>")
-    order = Window.partitionBy("x").orderBy("d2", "id")
+    found = found.mapInPandas(
+        meet, "x array<double>, tie double, d2 double, id string, nx array<double>"
+    )
+    order = Window.partitionBy("x").orderBy("tie", "id")
     lists = (
         found.withColumn("_r", F.row_number().over(order))
         .filter(F.col("_r") <= need)
         .groupBy("x")
-        .agg(F.sort_array(F.collect_list(F.struct("d2", "id", F.col("nx").alias("x")))).alias("v"))
+        .agg(F.sort_array(F.collect_list(F.struct("tie", "id", "d2", F.col("nx").alias("x")))).alias("v"))
     )
     others = F.filter("v", lambda n: n["id"] != F.col("id"))
     return rows.join(lists, "x").select("id", "x", F.slice(others, 1, k).alias("vizinhos"))

@@ -14,7 +14,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     """``value`` text to the ten request fields. A request with a missing field has no answer:
     it is left out, as is text that is not JSON."""
     parsed = lines.select(F.from_json("value", schemas.REQUEST).alias("r")).select("r.*")
-    return parsed.dropna("any", schemas.FEATURES)
+    return parsed.dropna(subset=schemas.FEATURES)
 
 
 def score_available(
