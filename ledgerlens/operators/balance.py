@@ -35,6 +35,10 @@ def minority_neighbours(
     )
 
 
+def _coordinate(neighbours: str, i: int) -> Column:
+    return F.transform(neighbours, lambda v: v["x"][i])
+
+
 def _most_common(codes: Column) -> Column:
     """Mode of a short array, the smallest value on ties."""
     votes = F.transform(
@@ -99,8 +103,7 @@ def smotenc(
             base = F.col("x")[i]
             columns.append((base + F.col("step") * (F.col("mate")[i] - base)).alias(name))
         else:
-            codes = F.transform("vizinhos", lambda v, i=i: v["x"][i])
-            columns.append(_most_common(codes).alias(name))
+            columns.append(_most_common(_coordinate("vizinhos", i)).alias(name))
     made = draws.select(F.lit(1).alias(target), *columns, F.lit(True).alias("sintetico"))
     return real.unionByName(made)
 
