@@ -49,11 +49,14 @@ def score_points(
     )
 
 
+def _one_per_group(points: DataFrame, by: list[str]) -> DataFrame:
+    return points.select(*by).distinct() if by else points.sparkSession.range(1)
+
+
 def pr_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score, and the end point (precision 1, recall 0)."""
     by = list(by)
-    end = points.select(*by).distinct() if by else points.agg(F.count(F.lit(1)).alias("_n"))
-    end = end.select(
+    end = _one_per_group(points, by).select(
         *by,
         F.lit(None).cast("double").alias("limiar"),
         F.lit(1.0).alias("precisao"),
@@ -65,8 +68,7 @@ def pr_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def roc_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score, and the start point (0, 0) without a threshold."""
     by = list(by)
-    start = points.select(*by).distinct() if by else points.agg(F.count(F.lit(1)).alias("_n"))
-    start = start.select(
+    start = _one_per_group(points, by).select(
         *by,
         F.lit(None).cast("double").alias("limiar"),
         F.lit(0.0).alias("fpr"),

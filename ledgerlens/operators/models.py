@@ -33,7 +33,7 @@ LOGISTIC = {"maxIter": 300, "standardization": False}
 TREE = {"maxDepth": 12, "minInstancesPerNode": 50, "maxBins": 64, "seed": SEED}
 FOREST = {
     "numTrees": 100, "maxDepth": 12, "minInstancesPerNode": 20, "maxBins": 64,
-    "featureSubsetStrategy": "sqrt", "seed": SEED,
+    "featureSubsetStrategy": "sqrt", "seed": SEED, "maxMemoryInMB": 1024, "cacheNodeIds": True,
 }
 BOOSTED = {
     "hist_gradient_boosting": {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5},

@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, spread
 
 # Ship the helpers below with the tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,6 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_POINTS = 2_048
 CELL_POINTS = 512
 MAX_PIVOTS = 1_024
+MAX_TASKS = 20_000
 TIE_DIGITS = 9
 
 
@@ -164,7 +165,7 @@ def k_nearest(
         )
     pivots = _matrix([c["x"] for c in chosen])
 
-    placed = materialise(_assign_cells(points, pivots, n_num, mismatch))
+    placed = materialise(_assign_cells(spread(points), pivots, n_num, mismatch))
     stats = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("points"),
         F.sum(F.size("ids")).alias("ids"),
@@ -178,7 +179,11 @@ def k_nearest(
         .groupBy("cell", "part")
         .agg(F.collect_list(F.struct("x", "ids")).alias("members"))
     )
-    blocks = materialise(blocks)
+    # Work per block outweighs its bytes, so the task count follows the blocks. No block can
+    # become much hotter than another: each is compared with every point at most once.
+    total = int(cells.blocks.sum())
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, min(total, MAX_TASKS))
+    blocks = materialise(blocks).repartition(tasks, "cell", "part")
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,7 +229,7 @@ def k_nearest(
                     }
                 )
 
-    found = queries.join(blocks, ["cell", "part"]).select("queries", "members")
+    found = queries.repartition(tasks, "cell", "part").join(blocks, ["cell", "part"]).select("queries", "members")
     found = found.mapInPandas(
         meet, "x array<double>, tie double, d2 double, id string, nx array<double>"
     )

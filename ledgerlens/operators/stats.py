@@ -16,27 +16,47 @@ NUMERIC_AND_TARGET = [
 ]
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Pearson over the pairs without nulls; null where a column is constant."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x = F.when(both, F.col(a)).cast("double")
-    y = F.when(both, F.col(b)).cast("double")
+def _pearson(x: str, y: str) -> Column:
+    """Pearson of two columns that are null on the same rows; null where one is constant."""
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(par, r) for each numbered pair, over the rows where both columns are present.
+
+    One scan: every row is laid out once per pair and summed map-side, so a task sends one row
+    per pair. One aggregate per pair in a single wide row would outgrow generated code."""
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        entries.append(
+            F.struct(
+                F.lit(i).alias("par"),
+                F.when(y.isNotNull(), x).alias("x"),
+                F.when(x.isNotNull(), y).alias("y"),
+            )
+        )
+    long = df.select(F.inline(F.array(*entries)))
+    return long.groupBy("par").agg(_pearson("x", "y").alias("r"))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_AND_TARGET) -> DataFrame:
     """All pairs in one pass over the table, as (linha, coluna, correlacao), both triangles."""
     columns = list(columns)
     pairs = list(combinations(columns, 2))
-    one = df.agg(*[_pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    by_pair = (
+        _pair_correlations(df, pairs)
+        .agg(F.map_from_entries(F.collect_list(F.struct("par", "r"))).alias("m"))
+    )
     cells = [(c, c, F.lit(1.0)) for c in columns]
-    for a, b in pairs:
-        cells += [(a, b, F.col(f"`{a}|{b}`")), (b, a, F.col(f"`{a}|{b}`"))]
+    for i, (a, b) in enumerate(pairs):
+        r = F.try_element_at("m", F.lit(i))
+        cells += [(a, b, r), (b, a, r)]
     rows = [
         F.struct(F.lit(a).alias("linha"), F.lit(b).alias("coluna"), v.alias("correlacao"))
         for a, b, v in cells
     ]
-    return one.select(F.inline(F.array(*rows)))
+    return by_pair.select(F.inline(F.array(*rows)))
 
 
 def target_correlation(
@@ -44,9 +64,10 @@ def target_correlation(
 ) -> DataFrame:
     """Correlation of each column with the target, weakest first."""
     others = [c for c in columns if c != target]
-    one = df.agg(*[_pearson(c, target).alias(c) for c in others])
-    long = one.unpivot([], others, "coluna", "correlacao")
-    return long.orderBy(F.abs("correlacao"), "coluna")
+    names = F.element_at(F.lit(others), F.col("par") + 1)
+    found = _pair_correlations(df, [(c, target) for c in others])
+    found = found.select(names.alias("coluna"), F.col("r").alias("correlacao"))
+    return found.orderBy(F.abs("correlacao"), "coluna")
 
 
 def target_distribution(df: DataFrame, target: str = "is_fraud") -> DataFrame:

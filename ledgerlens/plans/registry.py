@@ -54,10 +54,11 @@ def gold(spark: SparkSession, sf: str, *names: str) -> tuple[DataFrame, DataFram
 
 
 def modelling(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Gold train and test with one row per transaction id."""
-    rows = materialise(quality.dedup_latest(silver(spark, sf)))
-    train, test = etl.to_gold(rows, sampling.time_cutoff(rows), MODELLING_FRACTION, 0.05)
-    return materialise(train), materialise(test)
+    """Gold train and test with one row per transaction id, from a saved silver table."""
+    folder = new_folder(spark, "silver")
+    tables.overwrite(quality.dedup_latest(silver(spark, sf)), folder)
+    rows = spark.read.schema(schemas.SILVER).parquet(folder)
+    return etl.to_gold(rows, sampling.time_cutoff(rows), MODELLING_FRACTION, 0.05)
 
 
 def pseudo_scored(spark: SparkSession, sf: str) -> DataFrame:

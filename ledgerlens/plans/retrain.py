@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.operators import balance, metrics, models
 from ledgerlens.operators.features import Encoding, fit_encoding
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, spread
 from ledgerlens.sources import tables
 
 
@@ -46,7 +46,7 @@ def prepare(
     codes = [f"{c}_cod" for c in encoding.categories]
     numbers = [f"{c}_pad" for c in encoding.moments]
     balanced = balance.smotenc(encoded, numbers, codes, ratio, k, key)
-    return encoding, materialise(balanced)
+    return encoding, spread(materialise(balanced))
 
 
 def champion(spark: SparkSession, cfg: RetrainConfig) -> PipelineModel | None:

@@ -49,3 +49,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computed once, survives executor loss, cuts the lineage."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan or checkpoint that has fewer partitions than the cluster has
+    cores (a small file of one row group is read by one task, and small shuffles are merged to
+    one). Larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

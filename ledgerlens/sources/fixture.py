@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.session import spread
+
 _SLOT = "(l.l_partkey * 7 + l.l_suppkey * 13 + l.l_linenumber) % 24"
 
 # One SQL expression per transaction column, valid in Spark and in DuckDB.
@@ -74,7 +76,9 @@ def transactions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     joins = [sql for alias, sql in _PARENTS.items() if alias in used]
     text = f"SELECT {', '.join(fields)} FROM {{lineitem}} l {' '.join(joins)}"
     names = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{name: table(spark, folder, name) for name in names})
+    frames = {name: table(spark, folder, name) for name in names}
+    frames["lineitem"] = spread(frames["lineitem"])
+    return spark.sql(text, **frames)
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
