@@ -100,20 +100,21 @@ def fit_adaboost(
     """Discrete boosting of shallow trees: after each round the rows it got wrong gain weight.
 
     The reweighting is one projection on the scored frame; every ``checkpoint_every`` rounds the
-    frame is checkpointed so its plan stays short. The fitted model is a chain of plain stages:
-    each tree, then a running vote."""
+    frame is checkpointed so its plan stays short. The fitted model is the trees followed by one
+    projection that sums their votes."""
     stage = assembler(encoding)
     frame = stage.transform(train).select(target, "features", F.lit(1.0).alias("peso"))
     frame = materialise(frame)
     trees, votes = [], []
     for r in range(rounds):
+        said = f"_arvore_{r}"
         estimator = DecisionTreeClassifier(
             **_columns(target), weightCol="peso", maxDepth=maxDepth, maxBins=64, seed=SEED + r,
-            predictionCol="_dito", probabilityCol="_prob", rawPredictionCol="_raw",
+            predictionCol=said, probabilityCol="", rawPredictionCol="",
         )
         tree = estimator.fit(frame)
         scored = tree.transform(frame)
-        wrong = F.col("_dito") != F.col(target)
+        wrong = F.col(said) != F.col(target)
         sums = scored.agg(
             F.sum("peso").alias("all"), F.sum(F.when(wrong, F.col("peso")).otherwise(0.0)).alias("bad")
         ).first()
@@ -138,23 +139,13 @@ def fit_adaboost(
         if (r + 1) % checkpoint_every == 0:
             frame = materialise(frame)
 
-    stages = [stage, SQLTransformer(statement="SELECT *, 0.0D AS _soma FROM __THIS__")]
-    for tree, vote in zip(trees, votes):
-        keep = "* EXCEPT (_soma, _dito, _prob, _raw)"
-        stages += [
-            tree,
-            SQLTransformer(
-                statement=f"SELECT {keep}, _soma + IF(_dito = 1.0D, {vote!r}D, -{vote!r}D) AS _soma"
-                " FROM __THIS__"
-            ),
-        ]
-    stages.append(
-        SQLTransformer(
-            statement="SELECT * EXCEPT (_soma), array(1 - _p1, _p1) AS probability FROM"
-            f" (SELECT *, 1 / (1 + exp(-_soma / {sum(votes)!r}D)) AS _p1 FROM __THIS__)"
-        )
+    names = [tree.getPredictionCol() for tree in trees]
+    ballots = " + ".join(f"{v!r}D * (2 * {name} - 1)" for name, v in zip(names, votes))
+    tally = SQLTransformer(
+        statement=f"SELECT * EXCEPT (_p, {', '.join(names)}), array(1 - _p, _p) AS probability FROM"
+        f" (SELECT *, 1 / (1 + exp(-({ballots}) / {sum(votes)!r}D)) AS _p FROM __THIS__)"
     )
-    return PipelineModel(stages=stages)
+    return PipelineModel(stages=[stage, *trees, tally])
 
 
 def fit_model(name: str, train: DataFrame, encoding: Encoding, target: str = "is_fraud", **params):

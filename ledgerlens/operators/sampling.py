@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import columns as C
 from ledgerlens.operators.running import exact_quantiles
 
+HASH_SLICES = 65_536
+
 
 def time_cutoff_frame(df: DataFrame, p: float = 0.8, ts: str = "event_time") -> DataFrame:
     """Exact discrete percentile of the event time in epoch seconds, as one row."""
@@ -64,17 +64,19 @@ def fixed_n_sample(df: DataFrame, n: int, key: str = "trans_num") -> DataFrame:
     """The ``n`` rows with the smallest id hash; rows that share an id are settled by the other
     columns.
 
-    Candidates below a hash bound expected to hold a little more than ``n`` rows are sorted;
-    the bound is widened to everything should they turn out too few."""
-    rows = df.count()
-    if n >= rows:
+    One pass counts the rows per slice of the hash range. Only the leading slices that hold
+    ``n`` rows between them are sorted."""
+    slices = df.groupBy(F.floor(C.hash_fraction(key) * HASH_SLICES).alias("slice")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    # At most HASH_SLICES rows (and one for missing ids) pass through this window.
+    upto = Window.partitionBy().orderBy(F.asc_nulls_last("slice"))
+    held = slices.withColumn("held", F.sum("rows").over(upto)).filter(F.col("held") >= n)
+    last = held.agg(F.min("slice").alias("slice"), F.count(F.lit(1)).alias("n")).first()
+    if last["n"] == 0:
         return df
+    if last["slice"] is not None:
+        df = df.filter(C.hash_fraction(key) < (last["slice"] + 1) / HASH_SLICES)
     digest = F.sha2(F.col(key).cast("string"), 256)
     order = [digest, F.col(key), *[F.col(c) for c in df.columns if c != key]]
-    share = (n + 8 * math.sqrt(n) + 8) / rows
-    candidates = df
-    if share < 0.5:
-        below = df.filter(C.hash_fraction(key) < share)
-        if below.count() >= n:
-            candidates = below
-    return candidates.orderBy(*order).limit(n)
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
@@ -61,11 +61,17 @@ def modelling(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return etl.to_gold(rows, sampling.time_cutoff(rows), MODELLING_FRACTION, 0.05)
 
 
+def amount_score() -> Column:
+    """Amount as a share of 1,100, to two digits. Rounded by arithmetic: decimal rounding would
+    settle ties by the printed form of the number."""
+    return F.floor(F.col("amt") / 1100.0 * 100 + 0.5) / 100.0
+
+
 def pseudo_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Three simple scores per transaction, told apart by ``modelo``, from one scan."""
     rows = silver(spark, sf, "amt", "distance_km", "age", "is_fraud")
     scores = {
-        "valor": F.round(F.col("amt") / 1100.0, 2),
+        "valor": amount_score(),
         "distancia": F.floor(F.col("distance_km") / 1.5) / 100.0,
         "idade": F.col("age") / 100.0,
     }
@@ -303,7 +309,7 @@ def fraud_count_by_table(spark, sf):
 @query
 def apply_threshold(spark, sf):
     rows = silver(spark, sf, "trans_num", "amt")
-    scored = rows.select("trans_num", F.round(F.col("amt") / 1100.0, 2).alias("p"))
+    scored = rows.select("trans_num", amount_score().alias("p"))
     return metrics.apply_threshold(scored, 0.5)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
@@ -18,7 +18,7 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def _month(ts) -> F.Column:
+def _month(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 

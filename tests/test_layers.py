@@ -119,6 +119,18 @@ def test_fixed_n_survives_one_frequent_id(spark):
     assert sampling.fixed_n_sample(rows, 50).count() == 50
 
 
+def test_fixed_n_takes_the_smallest_hashes(spark):
+    import hashlib
+
+    ids = [f"t{i}" for i in range(2000)]
+    rows = spark.createDataFrame([(i,) for i in ids] + [(None,)], "trans_num string")
+    want = sorted(ids, key=lambda i: hashlib.sha256(i.encode()).hexdigest())
+    for n in (1, 37, 1999, 2000):
+        got = {r[0] for r in sampling.fixed_n_sample(rows, n).collect()}
+        assert got == set(want[:n])
+    assert sampling.fixed_n_sample(rows, 2001).count() == 2001
+
+
 def test_bernoulli_sample_keeps_all_frauds(spark, small):
     rows = registry.silver(spark, small, "trans_num", "is_fraud")
     frauds = rows.filter("is_fraud = 1").count()

@@ -57,3 +57,12 @@ def test_fixture_has_one_parent_per_key(con):
             (SELECT {pk} AS pk, count(*) AS n FROM {parent} GROUP BY 1) ON {fk} = pk
             WHERE n IS DISTINCT FROM 1"""
         assert con.execute(sql).fetchall() == [(0,)]
+
+
+def test_known_values(spark):
+    """Figures published with the fixture for the middle scale."""
+    folder = "/root/testdata/sf0.01"
+    rows = QUERIES["average_precision"](spark, folder).filter("modelo = 'valor'").collect()
+    assert rows[0]["pr_auc_w"] == round(0.0011369042361098877, 9)
+    assert QUERIES["time_cutoff"](spark, folder).first()["corte"] == 961248547
+    assert QUERIES["duplicate_ids"](spark, folder).first()["ids_duplicados"] == 11785
