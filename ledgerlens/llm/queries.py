@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.decontaminate import decontaminate
+from ledgerlens.llm.url_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +66,34 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places p ON d.doc_id = p.doc_id LEFT JOIN items t ON d.doc_id = t.doc_id
 """
+
+
+@query
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, fitting rule and verdict of each page."""
+    judged = judge(_table(spark, folder, "pages"), keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op6_url_rules"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0
+    THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+named AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path
+  FROM parts),
+judged AS (
+  SELECT *, '.' || host AS sub, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM named)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(host, '(^|[.-])spam(-[^.]*)?\.|(^|[.-])(cheap|buy|online)-pills[.-]|(^|[.-])casino[.-]|(^|[.])ads[.-]|(^|[.-])adult[.-]|(^|[.-])bets[.-]')
+  THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
