@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.llm import langid
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.url_rules import judge
 
@@ -97,3 +98,12 @@ SELECT page_id, host, path, rule, CASE
   THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
+
+
+@query
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of each document; a quarter of the documents teaches nothing."""
+    docs = _table(spark, folder, "documents")
+    profiles = langid.learn(docs.where(~langid.held_out()))
+    found = langid.identify(docs, profiles, keep=["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")

@@ -160,3 +160,17 @@ def map_texts(
                 )
 
     return source.mapInArrow(run, schema)
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes as code points, and the document borders counted in them."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    first = data[lead].astype(np.uint32)
+    out = first.copy()
+    last = len(data) - 1
+    for k, (low, mask) in enumerate(((0xC0, 0x1F), (0xE0, 0x0F), (0xF0, 0x07)), start=1):
+        many = np.flatnonzero(first >= low)
+        out[many] = first[many] & mask
+        for j in range(1, k + 1):
+            out[many] = (out[many] << 6) | (data[np.minimum(lead[many] + j, last)] & 0x3F)
+    return out, np.searchsorted(lead, offsets)
