@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid
 from ledgerlens.llm.decontaminate import decontaminate
+from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,32 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     profiles = langid.learn(docs.where(~langid.held_out()))
     found = langid.identify(docs, profiles, keep=["doc_id"])
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate group of each document."""
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
+ORACLES["op1_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2)::BIGINT)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON d.doc_id = r.doc_id
+"""
