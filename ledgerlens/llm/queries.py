@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid
+from ledgerlens.llm import langid, pii
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
@@ -137,3 +137,10 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM d LEFT JOIN sizes s ON d.doc_id = s.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON d.doc_id = r.doc_id
 """
+
+
+@query
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in each document."""
+    docs = _table(spark, folder, "documents")
+    return pii.find(docs, pii.fit(docs), keep=["doc_id"])
