@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid, pii
+from ledgerlens.llm import langid, license_scan, pii
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
@@ -144,3 +144,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in each document."""
     docs = _table(spark, folder, "documents")
     return pii.find(docs, pii.fit(docs), keep=["doc_id"])
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and covered licence templates of each document."""
+    found = license_scan.scan(_table(spark, folder, "documents"), keep=["doc_id"])
+    return found.drop("license_spans")
