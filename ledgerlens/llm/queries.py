@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid, license_scan, pii
+from ledgerlens.llm import hnsw, langid, license_scan, pii
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
@@ -151,3 +151,10 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and covered licence templates of each document."""
     found = license_scan.scan(_table(spark, folder, "documents"), keep=["doc_id"])
     return found.drop("license_spans")
+
+
+@query
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector."""
+    rows = _table(spark, folder, "embeddings")
+    return hnsw.nearest(rows, rows.where("vec_id % 100 = 0"))
