@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import hnsw, langid, license_scan, pii
+from ledgerlens.llm import hnsw, langid, license_scan, lm, pii
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
@@ -158,3 +158,11 @@ def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """Ten nearest vectors of every hundredth vector."""
     rows = _table(spark, folder, "embeddings")
     return hnsw.nearest(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query
+def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of each document; a fifth of the documents teaches nothing, and a tenth of
+    the others sets the mixture weights."""
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return lm.lm_scores(_table(spark, folder, "documents"), draw % 5 == 1, F.floor(draw / 5) % 10 == 0)
