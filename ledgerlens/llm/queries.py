@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import hnsw, langid, license_scan, lm, pii
+from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, sentencepiece
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.url_rules import judge
@@ -166,3 +166,16 @@ def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     the others sets the mixture weights."""
     draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     return lm.lm_scores(_table(spark, folder, "documents"), draw % 5 == 1, F.floor(draw / 5) % 10 == 0)
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of each document, and whether decoding gives the text back."""
+    vocabulary = sentencepiece.load_vocabulary()
+    encoded = sentencepiece.encode(_table(spark, folder, "documents"), vocabulary, keep=["doc_id", "text"])
+    return sentencepiece.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )

@@ -84,11 +84,16 @@ def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -
     before[1:] = inside[:-1]
     start = np.flatnonzero(inside & (border | ~before))
     end = np.flatnonzero(before & (border | ~inside))
+    return Words(low, start, end, range_hash(low, start, end), np.searchsorted(start, offsets))
+
+
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range of ``data``."""
+    size = len(data)
     up, down = _powers(1 << max(10, (size + 1).bit_length()))
     prefix = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[low] * up[:size], out=prefix[1:])
-    hashed = mix((prefix[end] - prefix[start]) * down[start])
-    return Words(low, start, end, hashed, np.searchsorted(start, offsets))
+    np.cumsum(_BYTE_CODES[data] * up[:size], out=prefix[1:])
+    return mix((prefix[end] - prefix[start]) * down[start])
 
 
 def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
