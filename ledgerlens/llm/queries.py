@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, sentencepiece
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
+from ledgerlens.llm.quotes import link_quotes
 from ledgerlens.llm.url_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +180,9 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query
+def op4_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages without quotes, in reply order."""
+    return link_quotes(_table(spark, folder, "conversations"))

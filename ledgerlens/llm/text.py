@@ -150,12 +150,15 @@ def map_texts(
     for each document. A kept column named like an added one is left out in favour of the latter."""
     names = {f.name.lower() for f in added}
     keep = [c for c in keep if c.lower() not in names]
-    source = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text).cast("string").alias("__text"))
-    schema = T.StructType([*source.schema.fields[:-1], *added.fields])
+    kept = [F.col(f"`{c}`") for c in keep]
+    # A kept text is not sent twice.
+    place = keep.index(text) if text in keep and dict(docs.dtypes)[text] == "string" else len(keep)
+    source = docs.select(*kept, *([F.col(text).cast("string").alias("__text")] if place == len(keep) else []))
+    schema = T.StructType([*source.schema.fields[: len(keep)], *added.fields])
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text"))
+            texts = batch.column(place)
             for at, to, data, offsets in slices(texts, target):
                 new = work(data, offsets)
                 kept = [batch.column(i).slice(at, to - at) for i in range(len(keep))]
