@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import text as tx
 from ledgerlens.session import new_folder
 
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
 SHARD_KEYS = 400_000
 ROUNDS = 40
 _END, _START = np.uint64(0x6A09E667F3BCC909), 0x5BE0
@@ -313,6 +313,9 @@ def learn_weights(cells, distinct: int, rounds: int = ROUNDS) -> np.ndarray:
     takes those of the next lower one."""
     out = np.tile([0.0, 0.9, 0.1], (66, 1))
     out[1:] = [0.5, 0.4, 0.1]
+    if not distinct:
+        out[:] = [0.0, 0.0, 1.0]
+        return out
     uniform = 1 / (distinct + 1)
     bucket, n, two, one = cells
     for b in range(66):
