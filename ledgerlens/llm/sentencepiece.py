@@ -26,7 +26,8 @@ from ledgerlens.llm import text as tx
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BATCH_CHARS = 400_000
+BATCH_CHARS = 120_000
+SLICE_BYTES = 1_000_000
 CACHE_SEGMENTS = 500_000
 _PAIR_SLOTS = 1 << 21
 
@@ -299,6 +300,19 @@ def _bisect(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np
     return low
 
 
+def _plain_spaces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text with the vocabulary's space mark read as the space it stands for."""
+    mark = np.frombuffer(SPACE.encode(), np.uint8)
+    at = np.flatnonzero((data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2]))
+    if not len(at):
+        return data, offsets
+    keep = np.ones(len(data), bool)
+    keep[at + 1] = keep[at + 2] = False
+    data = data.copy()
+    data[at] = 32
+    return data[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
+
+
 def segments(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first of its document) byte ranges that no piece reaches across, in order:
     words with the spaces before them, and what else stands between words."""
@@ -341,7 +355,7 @@ def _breaks(vocabulary: Vocabulary) -> np.ndarray:
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """One row per input row: the ``keep`` columns (all by default) and ``ids``.
 
-    A null or empty text has no ids. Characters without a piece become their bytes. A column named
+    A null or empty text has no ids. The space mark U+2581 in a text counts as a space. Characters without a piece become their bytes. A column named
     ``ids`` is replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
     breaks, name = _breaks(vocabulary), uuid.uuid4().hex
@@ -352,6 +366,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = Non
         if encoder is None:
             _ENCODERS.clear()
             encoder = _ENCODERS[name] = Encoder(shipped.value)
+        data, offsets = _plain_spaces(data, offsets)
         start, end, first = segments(data, offsets, breaks)
         if not len(start):
             return {"ids": pa.array([[]] * (len(offsets) - 1), pa.list_(pa.int32()))}
@@ -360,7 +375,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = Non
         edges = total[np.searchsorted(start, offsets)].astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(edges), pa.array(ids))}
 
-    return tx.map_texts(docs, docs.columns if keep is None else keep, _IDS, work, text)
+    return tx.map_texts(docs, docs.columns if keep is None else keep, _IDS, work, text, SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
