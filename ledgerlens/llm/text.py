@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_BYTES = 2_000_000
 
@@ -156,6 +157,12 @@ def map_texts(
     source = docs.select(*kept, *([F.col(text).cast("string").alias("__text")] if place == len(keep) else []))
     schema = T.StructType([*source.schema.fields[: len(keep)], *added.fields])
 
+    # Typed, so that a slice of nulls has the same schema as any other.
+    types = {f.name: to_arrow_type(f.dataType) for f in added}
+
+    def typed(name: str, value) -> pa.Array:
+        return value if isinstance(value, pa.Array) else pa.array(value, types[name])
+
     def run(batches):
         for batch in batches:
             texts = batch.column(place)
@@ -163,7 +170,7 @@ def map_texts(
                 new = work(data, offsets)
                 kept = [batch.column(i).slice(at, to - at) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
-                    kept + [pa.array(new[f.name]) for f in added],
+                    kept + [typed(f.name, new[f.name]) for f in added],
                     names=[*keep, *(f.name for f in added)],
                 )
 

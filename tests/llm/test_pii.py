@@ -115,6 +115,14 @@ def test_masks():
     assert pii.masked("abcdef", [(0, 0, 4), (2, 3, 5)]) == "<email>f"
 
 
+def test_slices_with_and_without_marks(spark):
+    """A slice in which nothing is masked has the same schema as one with marks."""
+    rows = [(i, ("x" * 700_000) if i % 4 else f"mail a.b{i}@mail1.example.com now") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = {r["doc_id"]: r["text"] for r in pii.mask(docs, None).collect()}
+    assert out == {i: t if i % 4 else "mail <email> now" for i, t in rows}
+
+
 def test_awkward_rows(awkward, no_docs):
     assert pii.fit(no_docs) is None
     model = pii.fit(awkward)
