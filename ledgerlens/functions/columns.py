@@ -17,6 +17,13 @@ AMOUNT_BANDS = [
     (1000, "6. 500 a 1000"),
     (None, "7. acima de 1000"),
 ]
+VALUE_BANDS = [
+    (50, "1. até 50"),
+    (250, "2. 50 a 250"),
+    (1000, "3. 250 a 1000"),
+    (None, "4. acima de 1000"),
+]
+DAY_PERIODS = [(6, "madrugada"), (12, "manhã"), (18, "tarde"), (None, "noite")]
 CLASS_LABELS = {0: "legítima", 1: "fraude"}
 
 

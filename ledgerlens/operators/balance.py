@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.neighbours import k_nearest
-from ledgerlens.operators.sampling import fixed_n_sample
+from ledgerlens.operators.running import hash_ranks
 from ledgerlens.session import materialise
 
 
@@ -48,6 +48,16 @@ def _most_common(codes: Column) -> Column:
     return -F.array_max(votes)["menos"]
 
 
+def own_ids(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(id, columns without the first): a distinct id per row. Equal rows are counted first and laid
+    out again with numbers, so no window gathers them."""
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    numbered = counted.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    digest = F.sha2(F.concat_ws("|", *parts, F.col("_i").cast("string")), 256)
+    return numbered.select(digest.alias("id"), *columns[1:])
+
+
 def smotenc(
     train: DataFrame,
     numeric: Sequence[str],
@@ -62,8 +72,9 @@ def smotenc(
 
     A synthetic row lies between a fraud and one of its k nearest frauds; its categories are
     the most common ones among those neighbours. Base, neighbour and position come from the
-    hash of id and draw number, so the result does not depend on partitioning. ``key`` must be
-    unique among the frauds. Use it on the training part only, after the split."""
+    hash of id and draw number, so the result does not depend on partitioning. Ids may repeat:
+    each fraud gets an id of its own from its key, its values and its number among equal rows.
+    Use it on the training part only, after the split."""
     kept = [target, *categorical, *numeric]
     real = train.select(*kept, F.lit(False).alias("sintetico"))
     sizes = train.agg(
@@ -73,9 +84,7 @@ def smotenc(
     if missing <= 0 or sizes["fraud"] < 2:
         return real
 
-    minority = materialise(
-        train.filter(F.col(target) == 1).select(F.col(key).alias("id"), *categorical, *numeric)
-    )
+    minority = materialise(own_ids(train.filter(F.col(target) == 1), [key, *categorical, *numeric]))
     each, extra = divmod(missing, sizes["fraud"])
     bases = materialise(
         k_nearest(
@@ -84,10 +93,8 @@ def smotenc(
     )
     draws = bases.withColumn("n", F.lit(each))
     if extra:
-        chosen = fixed_n_sample(bases.select("id"), extra, "id").withColumn("_more", F.lit(1))
-        draws = bases.join(chosen, "id", "left").withColumn(
-            "n", F.lit(each) + F.coalesce("_more", F.lit(0))
-        )
+        placed = hash_ranks(bases, F.sha2("id", 256), [F.col("id")])
+        draws = placed.withColumn("n", F.lit(each) + (F.col("rank") <= extra).cast("int"))
     draws = draws.filter("n > 0").withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("n"))))
     digest = F.sha2(F.concat_ws("|", "id", F.col("draw").cast("string")), 256)
 

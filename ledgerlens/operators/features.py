@@ -1,25 +1,20 @@
 """Model inputs: ordinal codes, standard scores, one-hot flags, feature vector.
 
-The fitted transform is a plain SQL projection with the learnt values as literals, so it is
-saved and loaded with the model and runs inside codegen."""
+Categories are looked up by a fitted string indexer (a hash map), numbers by a projection with the
+learnt values as literals; both are saved and loaded with the model."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import CATEGORICAL, NUMERIC
 
-MAX_CATEGORIES = 10_000
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
 
 @dataclass(frozen=True)
 class Encoding:
@@ -33,44 +28,45 @@ class Encoding:
         """Encoded columns in model order: codes first, then scaled numbers."""
         return [f"{c}_cod" for c in self.categories] + [f"{c}_pad" for c in self.moments]
 
-    def expressions(self) -> dict[str, str]:
+    def stages(self) -> list:
         """Code = position among the sorted categories, -1 when unknown or missing. A constant
-        column is centred only."""
-        out = {}
-        for c, values in self.categories.items():
-            listed = f"array({', '.join(map(_text, values))})" if values else "cast(array() as array<string>)"
-            out[f"{c}_cod"] = (
-                f"cast(coalesce(array_position({listed}, {c}) - 1, -1) as double)"
-            )
-        for c, (mean, std) in self.moments.items():
-            out[f"{c}_pad"] = f"(cast({c} as double) - {mean!r}D) / {std or 1.0!r}D"
-        return out
-
-    def transformer(self) -> SQLTransformer:
-        made = ", ".join(f"{sql} AS {name}" for name, sql in self.expressions().items())
-        return SQLTransformer(statement=f"SELECT *, {made} FROM __THIS__")
+        number is centred only."""
+        names = list(self.categories)
+        made = [
+            f"IF(`{c}_pos` >= {len(v)}D, -1D, `{c}_pos`) AS `{c}_cod`"
+            for c, v in self.categories.items()
+        ] + [
+            f"(cast(`{c}` as double) - {mean!r}D) / {std or 1.0!r}D AS `{c}_pad`"
+            for c, (mean, std) in self.moments.items()
+        ]
+        places = ", ".join(f"`{c}_pos`" for c in names)
+        kept = f"* EXCEPT ({places})" if names else "*"
+        table = SQLTransformer(statement=f"SELECT {', '.join([kept, *made])} FROM __THIS__")
+        if not names:
+            return [table]
+        lookup = StringIndexerModel.from_arrays_of_labels(
+            list(self.categories.values()), names, [f"{c}_pos" for c in names], handleInvalid="keep"
+        )
+        return [lookup, table]
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({n: F.expr(sql) for n, sql in self.expressions().items()})
+        return PipelineModel(stages=self.stages()).transform(df)
 
 
 def fit_encoding(
     train: DataFrame,
     categorical: Sequence[str] = CATEGORICAL,
     numeric: Sequence[str] = NUMERIC,
-    max_categories: int = MAX_CATEGORIES,
 ) -> Encoding:
-    """Learn from the training part only. The category lists become literals, so their length
-    is checked."""
+    """Learn from the training part only. The sorted category lists are part of the model, as any
+    indexer's labels are."""
     pairs = [F.struct(F.lit(c).alias("coluna"), F.col(c).alias("valor")) for c in categorical]
-    vocabulary = (
-        train.select(F.inline(F.array(*pairs))).filter("valor is not null").distinct()
+    found = (
+        train.select(F.inline(F.array(*pairs))).filter("valor is not null").distinct().collect()
+        if pairs
+        else []
     )
-    found = vocabulary.limit(max_categories * len(pairs) + 1).collect() if pairs else []
     lists = {c: sorted(r["valor"] for r in found if r["coluna"] == c) for c in categorical}
-    for c, values in lists.items():
-        if len(values) > max_categories:
-            raise ValueError(f"column {c} has more than {max_categories} categories")
     stats = train.agg(
         *[F.avg(c).alias(f"m_{c}") for c in numeric],
         *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric],

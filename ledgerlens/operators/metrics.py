@@ -107,6 +107,11 @@ def recall_at_precision(
     return points.groupBy(*by).agg(_recall_at(precision).alias("recall_p90_w"))
 
 
+def fit_seconds(scored: DataFrame) -> DataFrame:
+    """Fit time of each model, from the column its scores carry."""
+    return scored.groupBy("modelo").agg(F.max("segundos").alias("segundos"))
+
+
 def metric_summary(points: DataFrame, by: Sequence[str] = ("modelo",)) -> DataFrame:
     """The three headline metrics of every model in one aggregation."""
     return points.groupBy(*by).agg(

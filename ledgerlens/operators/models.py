@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import decision
 from ledgerlens.operators import metrics
 from ledgerlens.operators.features import Encoding, assembler, one_hot_stages
+from ledgerlens.operators.running import hash_ranks
 from ledgerlens.operators.sampling import fixed_n_sample
 from ledgerlens.session import materialise, shared_root
 
@@ -162,7 +163,12 @@ def fit_model(name: str, train: DataFrame, encoding: Encoding, target: str = "is
 
 def with_encoder(encoding: Encoding, model: PipelineModel) -> PipelineModel:
     """Full pipeline from raw feature columns to probability, ready to save."""
-    return PipelineModel(stages=[encoding.transformer(), *model.stages])
+    return PipelineModel(stages=[*encoding.stages(), *model.stages])
+
+
+def without_encoder(encoding: Encoding, model: PipelineModel) -> PipelineModel:
+    """The part of a full pipeline that takes encoded columns."""
+    return PipelineModel(stages=model.stages[len(encoding.stages()) :])
 
 
 def probability(df: DataFrame, column: str = "probability") -> Column:
@@ -203,7 +209,8 @@ def train_all(
     is recorded and does not stop the others.
 
     Returns the full pipelines, the scores of all models (``modelo, p, y, w, segundos``) and
-    the failures. Scoring is lazy, so it is part of the job that uses the scores."""
+    the failures. Scoring is lazy, so it is part of the job that uses the scores; ``segundos`` is
+    the time of the fit alone."""
     fitted, scores, failures = {}, [], []
     for name in names:
         start = time.time()
@@ -246,7 +253,7 @@ def permutation_importance(
     key: str = "trans_num",
     target: str = "is_fraud",
     weight: str = "sample_weight",
-    sample: int = 50_000,
+    sample: int | None = None,
     repeats: int = 3,
 ) -> DataFrame:
     """Mean drop in weighted average precision when one feature is shuffled.
@@ -254,15 +261,14 @@ def permutation_importance(
     ``model`` takes encoded columns. All copies of the sample (one per feature and repeat, and
     the untouched one) are tagged, scored by one transform and measured by one set of running
     totals. A shuffled feature takes its values from the row of equal position in another hash
-    order of the same sample, which is bounded by ``sample`` rows."""
+    order of the same rows. All rows are used unless ``sample`` asks for that many."""
     features = encoding.columns
     raw = [*encoding.categories, *encoding.moments]
-    rows = encoding.apply(fixed_n_sample(df.select(key, target, weight, *raw), sample, key))
-    spread = F.xxhash64(key, *features)
-    place = Window.orderBy(F.sha2(F.col(key).cast("string"), 256), spread)
-    rows = materialise(
-        rows.select(key, target, weight, *features, F.row_number().over(place).alias("_i"))
-    )
+    rows = df.select(key, target, weight, *raw)
+    rows = encoding.apply(rows if sample is None else fixed_n_sample(rows, sample, key))
+    rows = materialise(rows.select(key, target, weight, *features))
+    place = F.sha2(F.col(key).cast("string"), 256)
+    rows = materialise(hash_ranks(rows, place, [F.xxhash64(key, *features)], name="_i"))
     tags = [
         F.struct(F.lit(r).alias("repeticao"), F.lit(c).alias("variavel"))
         for r in range(repeats)
@@ -270,11 +276,10 @@ def permutation_importance(
     ]
     copies = rows.select("*", F.inline(F.array(*tags)))
     digest = F.sha2(F.concat_ws("|", F.col(key), "repeticao", "variavel", F.col("_i")), 256)
-    donor_order = Window.partitionBy("repeticao", "variavel").orderBy(digest)
     own = F.coalesce(*[F.when(F.col("variavel") == c, F.col(c)) for c in features])
-    donors = copies.select(
-        "repeticao", "variavel", own.alias("_v"), F.row_number().over(donor_order).alias("_i")
-    )
+    drawn = copies.select("repeticao", "variavel", own.alias("_v"), digest.alias("_d"), F.col("_i").alias("_own"))
+    donors = hash_ranks(drawn, F.col("_d"), [F.col("_own")], ["repeticao", "variavel"], "_i")
+    donors = donors.drop("_d", "_own")
     shuffled = copies.join(donors, ["repeticao", "variavel", "_i"]).select(
         "repeticao",
         "variavel",

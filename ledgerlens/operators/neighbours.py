@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialise, spread
+from ledgerlens.session import materialise
 
 # Ship the helpers below with the tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,7 +165,9 @@ def k_nearest(
         )
     pivots = _matrix([c["x"] for c in chosen])
 
-    placed = materialise(_assign_cells(spread(points), pivots, n_num, mismatch))
+    # Finding pivots is heavy work on few bytes, so it is dealt to all cores.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    placed = materialise(_assign_cells(points.repartition(cores, "x"), pivots, n_num, mismatch))
     stats = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("points"),
         F.sum(F.size("ids")).alias("ids"),

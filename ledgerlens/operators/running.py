@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ledgerlens.session import materialise
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 2_000
 
 
 def running_totals(
@@ -25,26 +24,17 @@ def running_totals(
     """Add ``cum_<x>`` (total of ``x`` up to and including the row, in ``value`` order within
     ``by``) and ``all_<x>`` (total within ``by``). ``df`` holds one row per ``by`` and ``value``.
 
-    Up to ``rows_per_bucket`` rows are summed by a plain window. Beyond that the values are cut
-    into ranges at approximate quantiles: each range is summed on its own and shifted by the
-    totals of the ranges before it. The cut points are literals, so both sides of that shift
-    always agree on the ranges, also when tasks are run again."""
+    The values are cut into ranges at approximate quantiles, as many as the row count asks for:
+    each range is summed on its own and shifted by the totals of the ranges before it. The cut
+    points are literals, so both sides of that shift always agree on the ranges, also when tasks
+    are run again."""
     by, sums = list(by), list(sums)
     df = materialise(df)
     rows = df.count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
+    buckets = 1 + -(-rows // rows_per_bucket)
     order = F.desc(value) if descending else F.asc(value)
-
-    if buckets <= 1:
-        upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*by)
-        return df.withColumns(
-            {f"cum_{x}": F.sum(x).over(upto) for x in sums}
-            | {f"all_{x}": F.sum(x).over(whole) for x in sums}
-        )
-
     shares = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.approxQuantile(value, shares, 1 / (4 * buckets))))
+    edges = sorted(set(df.approxQuantile(value, shares, 1 / (4 * buckets)))) or [0.0]
     ranges = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol="_x", outputCol="_bucket"
     )
@@ -76,6 +66,31 @@ def running_totals(
     )
 
 
+def hash_ranks(
+    df: DataFrame,
+    digest: Column,
+    ties: Sequence[Column],
+    by: Sequence[str] = (),
+    name: str = "rank",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Add the position of each row (from 1) in the order of ``digest``, a hex text, within ``by``;
+    equal digests are settled by ``ties``.
+
+    Rows are cut into equal ranges of the digest, ranked inside each, and shifted by the sizes of
+    the ranges before. ``df`` should be saved or cheap: it is read twice."""
+    by = list(by)
+    buckets = 1 + -(-df.count() // rows_per_bucket)
+    head = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    df = df.withColumn("_range", F.floor(head * buckets / F.lit(4294967296)))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    shifts = sizes.select(*by, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*by, "_range").orderBy(digest, *ties)
+    ranked = df.withColumn("_r", F.row_number().over(inside)).join(shifts, [*by, "_range"])
+    return ranked.withColumn(name, F.col("_r") + F.col("_before")).drop("_r", "_before", "_range")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -64,19 +64,24 @@ def fixed_n_sample(df: DataFrame, n: int, key: str = "trans_num") -> DataFrame:
     """The ``n`` rows with the smallest id hash; rows that share an id are settled by the other
     columns.
 
-    One pass counts the rows per slice of the hash range. Only the leading slices that hold
-    ``n`` rows between them are sorted."""
+    One pass counts the rows per slice of the hash range. The leading slices that hold fewer than
+    ``n`` rows between them are taken whole; only the slice that fills the number is sorted."""
     slices = df.groupBy(F.floor(C.hash_fraction(key) * HASH_SLICES).alias("slice")).agg(
         F.count(F.lit(1)).alias("rows")
     )
     # At most HASH_SLICES rows (and one for missing ids) pass through this window.
     upto = Window.partitionBy().orderBy(F.asc_nulls_last("slice"))
     held = slices.withColumn("held", F.sum("rows").over(upto)).filter(F.col("held") >= n)
-    last = held.agg(F.min("slice").alias("slice"), F.count(F.lit(1)).alias("n")).first()
-    if last["n"] == 0:
+    last = held.orderBy(F.asc_nulls_last("slice")).first()
+    if last is None:
         return df
-    if last["slice"] is not None:
-        df = df.filter(C.hash_fraction(key) < (last["slice"] + 1) / HASH_SLICES)
+    fraction = C.hash_fraction(key)
+    if last["slice"] is None:
+        whole, edge = df.filter(fraction.isNotNull()), df.filter(fraction.isNull())
+    else:
+        low, high = last["slice"] / HASH_SLICES, (last["slice"] + 1) / HASH_SLICES
+        whole, edge = df.filter(fraction < low), df.filter((fraction >= low) & (fraction < high))
     digest = F.sha2(F.col(key).cast("string"), 256)
     order = [digest, F.col(key), *[F.col(c) for c in df.columns if c != key]]
-    return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
+    room = n - (last["held"] - last["rows"])
+    return whole.unionByName(edge.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(room))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.functions import columns as C
 from ledgerlens.operators import quality, sampling
+from ledgerlens.session import require_utc
 from ledgerlens.sources import landing, tables
 
 # Raw columns each silver column is made from.
@@ -97,7 +98,7 @@ def build_bronze(spark: SparkSession, cfg: EtlConfig) -> None:
 def run_etl(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
     """Write every layer and return size and fraud count per table. Each layer is read back
     from its table, so a lost executor repeats one layer at most."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    require_utc(spark)
     if cfg.rebuild_bronze:
         build_bronze(spark, cfg)
     bronze = spark.read.schema(schemas.TRANSACTIONS).parquet(cfg.path("bronze/transactions"))

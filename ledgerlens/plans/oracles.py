@@ -6,7 +6,7 @@ written independently of the Spark code."""
 from __future__ import annotations
 
 from ledgerlens.schemas import CATEGORICAL, NUMERIC, SILVER, TRANSACTIONS
-from ledgerlens.sources.fixture import CUSTOMER_COLUMNS, TRANSACTION_COLUMNS
+from ledgerlens.sources.fixture import CUSTOMER_COLUMNS, TABLES, TRANSACTION_COLUMNS
 
 _TX_FIELDS = ", ".join(f'{sql} AS "{name}"' for name, sql in TRANSACTION_COLUMNS.items())
 TX = f"""tx AS (SELECT {_TX_FIELDS} FROM lineitem l
@@ -48,6 +48,9 @@ SCORED = """scored AS (
   UNION ALL SELECT 'distancia', floor(distance_km / 1.5e0) / 100.0e0, is_fraud,
     CASE WHEN is_fraud = 0 THEN 20.0e0 ELSE 1.0e0 END FROM silver
   UNION ALL SELECT 'idade', age / 100.0e0, is_fraud,
+    CASE WHEN is_fraud = 0 THEN 20.0e0 ELSE 1.0e0 END FROM silver
+  UNION ALL SELECT 'mista', CASE WHEN is_fraud = 1 THEN 50 + CAST(floor(amt) AS BIGINT) % 47
+    ELSE CAST(floor(amt) AS BIGINT) % 60 END / 100.0e0, is_fraud,
     CASE WHEN is_fraud = 0 THEN 20.0e0 ELSE 1.0e0 END FROM silver)"""
 POINTS = f"""{SILVER_CTE}, {SCORED},
 g AS (SELECT modelo, p, sum(w * y) AS tp, sum(w * (1 - y)) AS fp FROM scored GROUP BY 1, 2),
@@ -187,6 +190,17 @@ _FULL_SILVER = _silver("SELECT * FROM silver")
 _RATE_CATEGORY_SQL = """SELECT category, count(*) AS transacoes, CAST(sum(is_fraud) AS BIGINT) AS fraudes,
   round(avg(is_fraud) * 100, 3) AS taxa_fraude_pct FROM silver GROUP BY category"""
 
+_INFERRED = ", ".join(
+    f"({i}, '{name}', '{kind}')"
+    for i, (name, kind) in enumerate(
+        zip(
+            CUSTOMER_COLUMNS,
+            "string bigint string string string string string string int double double int"
+            " string date bigint string".split(),
+        )
+    )
+)
+
 ORACLES: dict[str, str] = {
     "ingest_transactions_csv": f"WITH {TX} SELECT {_TX_LIST} FROM tx",
     "ingest_customers_csv": f"""SELECT {_CUSTOMER_FIELDS} FROM customer c
@@ -197,9 +211,33 @@ ORACLES: dict[str, str] = {
         count(DISTINCT o_orderkey) AS n_presentes,
         CAST(max(o_orderkey) - min(o_orderkey) + 1 - count(DISTINCT o_orderkey) AS BIGINT) AS n_ausentes
         FROM orders""",
-    "missing_files": """SELECT DISTINCT 'transactions_' || strftime(o_orderdate, '%Y-%m') || '.csv' AS arquivo
-        FROM orders WHERE strftime(o_orderdate, '%Y-%m') NOT IN
-        (SELECT strftime(l_shipdate, '%Y-%m') FROM lineitem)""",
+    "missing_files": """SELECT DISTINCT 'transactions_' || strftime(l_shipdate, '%Y-%m') || '.csv' AS arquivo
+        FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') NOT IN
+        (SELECT strftime(o_orderdate, '%Y-%m') FROM orders)""",
+    "infer_schema_profile": f"""SELECT v.*, n AS preenchidos, 0::BIGINT AS nulos
+        FROM (VALUES {_INFERRED}) v(posicao, coluna, tipo),
+        (SELECT count(*) AS n FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)""",
+    "peek_rows": """SELECT least(1000, count(*))::BIGINT AS linhas,
+        least(1000, count(*))::BIGINT AS conhecidas FROM lineitem""",
+    "file_inventory": " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS arquivo, count(*) AS linhas FROM {t}" for t in TABLES
+    ),
+    "approx_distinct_ids": _silver("""SELECT count(DISTINCT trans_num) AS ids_distintos,
+        count(*) AS linhas, true AS dentro_do_limite FROM silver"""),
+    "smotenc_repeated_ids": f"""WITH {SILVER_CTE}, {CUT}, {_gold('train', 0.1)},
+        c AS (SELECT count(*) FILTER (is_fraud = 0) AS legit, count(*) FILTER (is_fraud = 1) AS fraud FROM train)
+        SELECT 0 AS is_fraud, false AS sintetico, legit AS n FROM c
+        UNION ALL SELECT 1, false, fraud FROM c
+        UNION ALL SELECT 1, true, CAST(floor(0.5e0 * legit) AS BIGINT) - fraud FROM c
+          WHERE floor(0.5e0 * legit) > fraud""",
+    "compare_models": f"""WITH {_MODELLING}
+        SELECT modelo, true AS registrado, true AS medido, true AS acima_do_acaso,
+          (SELECT count(*) FROM test) AS linhas_pontuadas, 10::BIGINT AS variaveis
+        FROM (VALUES ('regressao_logistica'), ('arvore_decisao'), ('random_forest')) v(modelo)""",
+    "stream_bronze": f"WITH {TX} SELECT {_TX_LIST} FROM tx",
+    "stream_rejected": f"""WITH {_MODELLING}
+        SELECT CASE CAST(split_part(trans_num, '-', 1) AS BIGINT) % 10 WHEN 3 THEN 'missing or mistyped: amt'
+          WHEN 7 THEN 'not json' ELSE 'answered' END AS fim, count(*) AS n FROM test GROUP BY 1""",
     "metrics_sink": _points(f"SELECT {_SUMMARY_ROUNDED} FROM summary"),
     "append_history": _points(f""", {_ROUNDS},
         h AS (SELECT 'r1' AS data, a AS pr_auc_desafiante, CAST(NULL AS DOUBLE) AS pr_auc_atual, true AS promovido FROM r

@@ -15,7 +15,7 @@ from ledgerlens.functions import columns as C
 from ledgerlens.operators import (
     balance, features, metrics, models, quality, rates, sampling, stats,
 )
-from ledgerlens.plans import etl, retrain
+from ledgerlens.plans import compare, etl, retrain
 from ledgerlens.session import materialise, new_folder
 from ledgerlens.sources import fixture, landing, tables
 from ledgerlens.streaming import ingest, scoring
@@ -26,8 +26,6 @@ QUERIES: dict[str, Query] = {}
 # Share of legitimate rows in the modelling training set. The test tables hold about 2% frauds;
 # this keeps frauds well below half of the legitimate rows, so that oversampling has work.
 MODELLING_FRACTION = 0.1
-# Boosting rounds of the registered model queries; the library defaults are in ``models``.
-CHECK_ROUNDS = 10
 
 
 def query(fn: Query) -> Query:
@@ -68,12 +66,15 @@ def amount_score() -> Column:
 
 
 def pseudo_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Three simple scores per transaction, told apart by ``modelo``, from one scan."""
+    """Four simple scores per transaction, told apart by ``modelo``, from one scan. The last one
+    knows the label for part of its range, so that high precision is reached."""
     rows = silver(spark, sf, "amt", "distance_km", "age", "is_fraud")
+    whole = F.floor("amt")
     scores = {
         "valor": amount_score(),
         "distancia": F.floor(F.col("distance_km") / 1.5) / 100.0,
         "idade": F.col("age") / 100.0,
+        "mista": F.when(F.col("is_fraud") == 1, 50 + whole % 47).otherwise(whole % 60) / 100.0,
     }
     entries = [
         F.struct(F.lit(name).alias("modelo"), p.cast("double").alias("p"))
@@ -127,9 +128,12 @@ def infer_schema_profile(spark, sf):
 
 @query
 def peek_rows(spark, sf):
+    """How many rows a peek gives, and how many of them the table holds."""
     folder = new_folder(spark, "landing")
     fixture.transactions(spark, sf).write.csv(folder, header=True)
-    return landing.peek(landing.read_transactions(spark, folder))
+    rows = materialise(landing.peek(landing.read_transactions(spark, folder)).select("row_id", "amt"))
+    known = rows.join(fixture.transactions(spark, sf, "row_id", "amt"), ["row_id", "amt"], "left_semi")
+    return rows.agg(F.count(F.lit(1)).alias("linhas")).join(known.agg(F.count(F.lit(1)).alias("conhecidas")))
 
 
 @query
@@ -160,19 +164,21 @@ def range_source(spark, sf):
 
 @query
 def file_inventory(spark, sf):
-    return landing.inventory(spark, sf, "*.parquet")
+    """Rows of each file of the tables."""
+    parts = [landing.rows_per_file(fixture.table(spark, sf, name)) for name in fixture.TABLES]
+    return reduce(DataFrame.unionByName, parts).select("arquivo", "linhas")
 
 
 @query
 def missing_files(spark, sf):
-    """Monthly files to expect from the order dates, less those the shipping dates supply."""
+    """Monthly files to expect from the shipping dates, less those the order dates supply."""
 
     def names(table, ts):
         month = F.date_format(ts, "yyyy-MM")
         name = F.concat(F.lit("transactions_"), month, F.lit(".csv")).alias("arquivo")
         return fixture.table(spark, sf, table).select(name)
 
-    return landing.missing_files(names("orders", "o_orderdate"), names("lineitem", "l_shipdate"))
+    return landing.missing_files(names("lineitem", "l_shipdate"), names("orders", "o_orderdate"))
 
 
 @query
@@ -338,7 +344,12 @@ def time_range(spark, sf):
 
 @query
 def approx_distinct_ids(spark, sf):
-    return quality.approx_distinct_ids(silver(spark, sf, "trans_num"))
+    """Whether the estimate lies within three standard errors of the exact count."""
+    rows = silver(spark, sf, "trans_num")
+    guess = quality.approx_distinct_ids(rows).withColumnRenamed("ids_distintos", "estimativa")
+    both = quality.distinct_ids(rows).join(guess, "linhas")
+    near = F.abs(F.col("estimativa") - F.col("ids_distintos")) <= 0.15 * F.col("ids_distintos")
+    return both.select("ids_distintos", "linhas", near.alias("dentro_do_limite"))
 
 
 @query
@@ -524,6 +535,15 @@ def smotenc(spark, sf):
     return retrain.prepare(train)[1]
 
 
+@query
+def smotenc_repeated_ids(spark, sf):
+    """Rows by kind after oversampling a training table whose ids repeat."""
+    rows = silver(spark, sf)
+    cutoff = sampling.time_cutoff(silver(spark, sf, "event_time"))
+    train, _ = etl.to_gold(rows, cutoff, MODELLING_FRACTION, 0.05)
+    return retrain.prepare(materialise(train))[1].groupBy("is_fraud", "sintetico").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def balance_before_after(spark, sf):
     train, _ = modelling(spark, sf)
@@ -559,7 +579,7 @@ def one_hot(spark, sf):
     train, test = modelling(spark, sf)
     encoding = features.fit_encoding(train)
     stages = features.one_hot_stages(spark, encoding)
-    vectors = PipelineModel(stages=[encoding.transformer(), *stages]).transform(test)
+    vectors = PipelineModel(stages=[*encoding.stages(), *stages]).transform(test)
     cells = vectors.select(F.posexplode(vector_to_array("features")).alias("posicao", "v"))
     return cells.groupBy("posicao").agg(F.round(F.sum("v"), 6).alias("soma"))
 
@@ -569,7 +589,7 @@ def feature_vector(spark, sf):
     """The assembled vector, one column per position."""
     train, test = modelling(spark, sf)
     encoding = features.fit_encoding(train)
-    stages = [encoding.transformer(), features.assembler(encoding)]
+    stages = [*encoding.stages(), features.assembler(encoding)]
     vectors = PipelineModel(stages=stages).transform(test)
     cells = vectors.select("trans_num", vector_to_array("features").alias("v"))
     return cells.select(
@@ -581,11 +601,11 @@ def feature_vector(spark, sf):
 # Training, scoring, evaluation
 
 
-def _trained(spark, sf, names, params=None):
-    """Metric row per model, evaluated on the untouched test rows."""
+def _trained(spark, sf, names):
+    """Metric row per model with its full rounds, evaluated on the untouched test rows."""
     train, test = modelling(spark, sf)
     encoding, balanced = retrain.prepare(train)
-    _, scored, failures = models.train_all(names, balanced, test, encoding, params=params)
+    _, scored, failures = models.train_all(names, balanced, test, encoding)
     if failures:
         raise RuntimeError(f"models failed: {failures}")
     return metrics.metric_summary(metrics.score_points(scored, ["modelo"]))
@@ -608,13 +628,36 @@ def model_forest(spark, sf):
 
 @query
 def model_gbt(spark, sf):
-    few = {name: {"maxIter": CHECK_ROUNDS} for name in models.BOOSTED}
-    return _trained(spark, sf, list(models.BOOSTED), few)
+    return _trained(spark, sf, list(models.BOOSTED))
 
 
 @query
 def model_adaboost(spark, sf):
-    return _trained(spark, sf, ["adaboost"], {"adaboost": {"rounds": CHECK_ROUNDS}})
+    return _trained(spark, sf, ["adaboost"])
+
+
+@query
+def compare_models(spark, sf):
+    """The comparison job over three learners: ranked, logged, explained, winner saved."""
+    train, test = modelling(spark, sf)
+    names = ["regressao_logistica", "arvore_decisao", "random_forest"]
+    cfg = compare.CompareConfig(new_folder(spark, "comparacao"), names)
+    ranked = materialise(compare.compare_models(spark, train, test, cfg))
+    runs = spark.read.parquet(cfg.path("execucoes")).select(F.col("params")["modelo"].alias("modelo")).distinct()
+    saved = spark.read.csv(cfg.path("metricas"), header=True, inferSchema=True)
+    best = PipelineModel.load(cfg.path("melhor"))
+    explained = spark.read.parquet(cfg.path("importancia")).count()
+    size = models.score(test, best, ["is_fraud"]).filter("p between 0 and 1").count()
+    return ranked.join(runs.withColumn("registrado", F.lit(True)), "modelo", "left").join(
+        saved.select("modelo", (F.col("segundos") > 0).alias("medido")), "modelo", "left"
+    ).select(
+        "modelo",
+        F.coalesce("registrado", F.lit(False)).alias("registrado"),
+        F.coalesce("medido", F.lit(False)).alias("medido"),
+        (F.col("roc_auc_w") > 0.5).alias("acima_do_acaso"),
+        F.lit(size).cast("long").alias("linhas_pontuadas"),
+        F.lit(explained).cast("long").alias("variaveis"),
+    )
 
 
 def _tree(spark, sf):
@@ -737,6 +780,36 @@ def stream_silver(spark, sf):
     )
 
 
+@query
+def stream_bronze(spark, sf):
+    """Raw rows as the stream keeps them, beside the silver rows of the same batches."""
+    root = new_folder(spark, "stream")
+    fixture.transactions(spark, sf).write.csv(f"{root}/landing", header=True)
+    ingest.ingest_available(
+        spark, f"{root}/landing", f"{root}/silver", f"{root}/checkpoint", 4, bronze=f"{root}/bronze"
+    )
+    return spark.read.schema(schemas.TRANSACTIONS).parquet(f"{root}/bronze").select(*schemas.TRANSACTIONS.names)
+
+
+@query
+def stream_rejected(spark, sf):
+    """Requests of which every tenth order lacks its amount or is no JSON: how each kind ended."""
+    encoding, model, test = _tree(spark, sf)
+    root = new_folder(spark, "stream")
+    slot = F.pmod(F.substring_index("trans_num", "-", 1).cast("long"), F.lit(10))
+    text = F.to_json(F.struct(F.col("trans_num").alias("id"), *schemas.FEATURES))
+    bare = F.to_json(F.struct(F.col("trans_num").alias("id"), *[c for c in schemas.FEATURES if c != "amt"]))
+    lines = test.select(F.when(slot == 3, bare).when(slot == 7, F.concat(F.lit("?"), text)).otherwise(text).alias("value"))
+    lines.write.text(f"{root}/requests")
+    answers = scoring.score_available(
+        spark, models.with_encoder(encoding, model), f"{root}/requests", f"{root}/answers",
+        f"{root}/checkpoint", rejected=f"{root}/rejected", max_files=4,
+    )
+    bad = spark.read.parquet(f"{root}/rejected")
+    ended = answers.select(F.lit("answered").alias("fim")).unionByName(bad.select(F.col("motivo").alias("fim")))
+    return ended.groupBy("fim").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_score(spark, sf):
     encoding, model, test = _tree(spark, sf)
@@ -787,8 +860,6 @@ def etl_gold(spark, sf):
 def retrain_summary(spark, sf):
     """Two retrains in a row: the first has no champion, the second challenges it."""
     train, test = modelling(spark, sf)
-    cfg = retrain.RetrainConfig(
-        new_folder(spark, "retreino"), params={"maxIter": CHECK_ROUNDS}
-    )
+    cfg = retrain.RetrainConfig(new_folder(spark, "retreino"))
     runs = [retrain.retrain(spark, train, test, cfg) for _ in range(2)]
     return runs[0].unionByName(runs[1])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.operators import balance, metrics, models
 from ledgerlens.operators.features import Encoding, fit_encoding
-from ledgerlens.session import materialise, spread
+from ledgerlens.session import materialise
 from ledgerlens.sources import tables
 
 
@@ -31,12 +32,6 @@ class RetrainConfig:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def unique_key(df: DataFrame, key: str = "trans_num") -> DataFrame:
-    """Replace the key by a hash of the whole row, for tables whose transaction id repeats."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
-    return df.withColumn(key, F.sha2(F.concat_ws("|", *parts), 256))
-
-
 def prepare(
     train: DataFrame, ratio: float = 0.5, k: int = 5, key: str = "trans_num"
 ) -> tuple[Encoding, DataFrame]:
@@ -46,17 +41,23 @@ def prepare(
     codes = [f"{c}_cod" for c in encoding.categories]
     numbers = [f"{c}_pad" for c in encoding.moments]
     balanced = balance.smotenc(encoded, numbers, codes, ratio, k, key)
-    return encoding, spread(materialise(balanced))
+    return encoding, materialise(balanced)
 
 
 def champion(spark: SparkSession, cfg: RetrainConfig) -> PipelineModel | None:
-    """The model of the latest promoted run, if there is one that loads."""
+    """The model of the latest promoted run; none without a history, or if the model does not load.
+    Any other fault is raised, so that it cannot promote a challenger."""
     try:
         history = spark.read.schema(schemas.HISTORY).json(cfg.path("historico"))
         latest = history.filter("promovido").agg(F.max("data")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    try:
         return PipelineModel.load(cfg.path(f"modelos/{latest}")) if latest else None
     except Exception as error:
-        print("no usable champion:", str(error).splitlines()[0])
+        print("champion does not load:", str(error).splitlines()[0])
         return None
 
 

@@ -15,6 +15,7 @@ _TYPES = {
 
 
 def _struct(text: str) -> T.StructType:
+    """Schema from text at import time; ``StructType.fromDDL`` needs a running session."""
     fields = [item.split() for item in text.split(",")]
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "ledgerlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,11 +30,15 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``, else a folder beside the tables of the
+    warehouse, which executors share too."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ledgerlens-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{warehouse.rstrip('/')}/_intermediate"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
@@ -51,9 +55,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan or checkpoint that has fewer partitions than the cluster has
-    cores (a small file of one row group is read by one task, and small shuffles are merged to
-    one). Larger inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def require_utc(spark: SparkSession) -> None:
+    """Event times are read and cut in UTC; a session of another zone is refused, not changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    offsets = spark.range(1).select(
+        *(F.date_format(F.timestamp_seconds(F.lit(s)), "xxx") for s in (0, 15_552_000, 1_700_000_000))
+    )
+    if set(offsets.first()) != {"+00:00"}:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; the jobs need UTC")

@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.session import spread
+from ledgerlens.session import require_utc
 
 _SLOT = "(l.l_partkey * 7 + l.l_suppkey * 13 + l.l_linenumber) % 24"
 
@@ -60,6 +60,10 @@ _PARENTS = {
     "p": "JOIN {part} p ON l.l_partkey = p.p_partkey",
     "s": "JOIN {supplier} s ON l.l_suppkey = s.s_suppkey",
 }
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 _NEEDS = {"o": "o", "c": "oc", "n": "ocn", "p": "p", "s": "s"}
 
 
@@ -67,9 +71,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """The test tables are single files of one row group, which one task would read and work on."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def transactions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Bronze transactions with the given columns (all 27 when none is given)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    require_utc(spark)
     wanted = columns or tuple(TRANSACTION_COLUMNS)
     fields = [f"{TRANSACTION_COLUMNS[name]} AS `{name}`" for name in wanted]
     used = set("".join(_NEEDS.get(a, "") for a in re.findall(r"\b([a-z])\.", " ".join(fields))))
@@ -77,7 +87,7 @@ def transactions(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     text = f"SELECT {', '.join(fields)} FROM {{lineitem}} l {' '.join(joins)}"
     names = set(re.findall(r"\{(\w+)\}", text))
     frames = {name: table(spark, folder, name) for name in names}
-    frames["lineitem"] = spread(frames["lineitem"])
+    frames["lineitem"] = _dealt(frames["lineitem"])
     return spark.sql(text, **frames)
 
 

@@ -52,7 +52,8 @@ def peek(df: DataFrame, n: int = 1000) -> DataFrame:
 
 
 def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Name and size of each file. File contents are not read: the column is pruned."""
+    """Name and size of each file. File contents are not read: the column is pruned. For rows per
+    file see ``rows_per_file``."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -66,6 +67,12 @@ def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame
     )
 
 
+def rows_per_file(rows: DataFrame) -> DataFrame:
+    """Rows of each file of a scan, counted map-side."""
+    named = rows.select(F.col("_metadata.file_name").alias("arquivo"), F.col("_metadata.file_size").alias("bytes"))
+    return named.groupBy("arquivo", "bytes").agg(F.count(F.lit(1)).alias("linhas"))
+
+
 def missing_files(expected: DataFrame, present: DataFrame, name: str = "arquivo") -> DataFrame:
     """Expected files that have not landed."""
     return expected.select(name).distinct().join(present.select(name).distinct(), name, "left_anti")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens import schemas
+from ledgerlens.operators.quality import dedup_latest
 from ledgerlens.plans.etl import to_silver
+from ledgerlens.sources import tables
 
 
 def arriving_transactions(
@@ -25,18 +27,31 @@ def ingest_available(
     checkpoint: str,
     max_files: int | None = None,
     salt: str | None = None,
+    bronze: str | None = None,
+    deduplicate: bool = False,
 ) -> DataFrame:
-    """Append every file that has not been ingested yet to the silver table, then stop.
+    """Append every file that has not been ingested yet, then stop: raw rows to ``bronze`` if given,
+    silver rows to ``output`` in the month layout of the batch job.
+
+    The checkpoint remembers the files, so a run after a failure goes on where it stopped. Each
+    micro-batch has a folder of its own, which a repeated batch overwrites, so no row is written
+    twice. ``deduplicate`` keeps the latest row of each id within a micro-batch; ids that return in
+    a later one are settled by ``dedup_latest`` on the table."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        if bronze:
+            tables.overwrite(batch, f"{bronze}/lote={number}")
+            batch = spark.read.schema(schemas.TRANSACTIONS).parquet(f"{bronze}/lote={number}")
+        silver = to_silver(batch, salt=salt)
+        silver = dedup_latest(silver) if deduplicate else silver
+        tables.overwrite_by_month(silver, f"{output}/lote={number}")
 
-    The checkpoint remembers the files, so a run after a failure goes on where it stopped."""
-    silver = to_silver(arriving_transactions(spark, landing, max_files), salt=salt)
     query = (
-        silver.writeStream.format("parquet")
-        .option("path", output)
+        arriving_transactions(spark, landing, max_files)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(schemas.SILVER).parquet(output)
+    return tables.read_by_month(spark, output).select(*schemas.SILVER.names)

@@ -99,3 +99,18 @@ def test_smotenc_leaves_a_balanced_set_alone(train):
 def test_mode_takes_the_smallest_on_ties(spark):
     df = spark.createDataFrame([([2.0, 1.0, 2.0, 1.0, 3.0],), ([4.0],)], "v array<double>")
     assert [r[0] for r in df.select(balance._most_common(F.col("v"))).collect()] == [1.0, 4.0]
+
+
+def test_repeated_ids_are_told_apart(spark, train):
+    """Frauds that share an id, some of them equal in every column."""
+    frauds = train.filter("is_fraud = 1").withColumn("id", F.lit("same"))
+    rows = train.filter("is_fraud = 0").unionByName(frauds).unionByName(frauds.limit(5))
+
+    def run(n):
+        return balance.smotenc(rows.repartition(n), NUM, CAT, 0.5, 5, "id")
+
+    out = run(3).toPandas()
+    assert (out.is_fraud == 1).sum() == 150 and out.sintetico.sum() == 105
+    made = out[out.sintetico]
+    assert made[NUM].drop_duplicates().shape[0] > 40
+    assert sorted(map(tuple, run(1).collect())) == sorted(map(tuple, run(7).collect()))

@@ -152,15 +152,16 @@ def test_encoding_of_unknown_missing_and_quoted_values(spark):
     new = spark.createDataFrame([("a", 3.0), ("b'x", 3.0), ("new", 3.0), (None, 3.0)], train.schema)
     got = [tuple(r) for r in encoding.apply(new).select("k_cod", "v_pad").collect()]
     assert got == [(0.0, 0.0), (1.0, 0.0), (-1.0, 0.0), (-1.0, 0.0)]
-    flags = PipelineModel(stages=[encoding.transformer(), *features.one_hot_stages(spark, encoding)])
+    flags = PipelineModel(stages=[*encoding.stages(), *features.one_hot_stages(spark, encoding)])
     vectors = [r[0] for r in flags.transform(new).select(vector_to_array("features")).collect()]
     assert [v[:2] for v in vectors] == [[1.0, 0.0], [0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
 
 
-def test_encoding_refuses_unbounded_categories(spark):
-    many = spark.range(20).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"))
-    with pytest.raises(ValueError):
-        features.fit_encoding(many, ["k"], ["v"], max_categories=10)
+def test_encoding_of_many_categories(spark):
+    many = spark.range(12_000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("k"), F.lit(1.0).alias("v"))
+    encoding = features.fit_encoding(many, ["k"], ["v"])
+    codes = encoding.apply(many).select(F.col("k").cast("double").alias("k"), "k_cod")
+    assert codes.filter("k <> k_cod").count() == 0 and codes.count() == 12_000
 
 
 def test_etl_with_deduplication(spark, small, folder):
@@ -257,6 +258,23 @@ def test_retrain_keeps_history_and_champion(spark, small, folder):
     assert {r["params"]["promovido"] for r in runs.collect()} == {"true", "false"}
 
 
-def test_repeated_ids_can_be_made_unique(spark):
-    rows = spark.createDataFrame([("a", 1), ("a", 2)], "trans_num string, v int")
-    assert retrain.unique_key(rows).select("trans_num").distinct().count() == 2
+def test_a_broken_history_is_not_taken_for_none(spark, folder):
+    cfg = retrain.RetrainConfig(folder)
+    assert retrain.champion(spark, cfg) is None
+    os.makedirs(cfg.path("historico"))
+    with open(cfg.path("historico") + "/part.json", "w") as f:
+        f.write('{"data": "x", "promovido": true}\n')
+    assert retrain.champion(spark, cfg) is None
+    os.replace(cfg.path("historico") + "/part.json", cfg.path("historico") + "/part.json.gz")
+    with pytest.raises(Exception):
+        retrain.champion(spark, cfg)
+
+
+def test_jobs_refuse_another_time_zone(spark, small):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Lisbon")
+    try:
+        with pytest.raises(ValueError):
+            registry.silver(spark, small)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Europe/Lisbon"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

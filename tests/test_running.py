@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.running import exact_quantiles, running_totals
+from ledgerlens.operators.running import exact_quantiles, hash_ranks, running_totals
 
 
 def frame(spark):
@@ -44,3 +44,15 @@ def test_quantiles_equal_numpy(spark, size):
     disc = exact_quantiles(rows, "v", probs, rows_per_bucket=size).first()
     want = np.quantile(values.v, list(probs.values()), method="inverted_cdf")
     assert [disc[k] for k in probs] == list(want)
+
+
+@pytest.mark.parametrize("size", [10**6, 40])
+def test_hash_ranks_are_positions_in_hash_order(spark, size):
+    rows = spark.range(700).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("g"))
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    for by in ([], ["g"]):
+        got = hash_ranks(rows, digest, [F.col("id")], by, rows_per_bucket=size).withColumn("d", digest).collect()
+        groups = {}
+        for r in sorted(got, key=lambda r: r["d"]):
+            groups.setdefault(r["g"] if by else "", []).append(r["rank"])
+        assert all(g == list(range(1, len(g) + 1)) for g in groups.values()) and len(got) == 700
