@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.running import exact_quantiles
+from ledgerlens.operators.running import rank_quantiles, running_totals
+from ledgerlens.session import materialise
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -53,7 +54,8 @@ def dedup_latest(
     """Keep the latest row of each id; equal times are settled by the remaining columns.
 
     A grouped maximum of the whole row: every map task sends at most one row per id, so an id
-    that holds a large share of the table stays cheap."""
+    that holds a large share of the table stays cheap. A maximum of a row is planned as a sort
+    aggregate: nearly unique ids pay a sort on both sides of the shuffle for that."""
     rest = [c for c in df.columns if c != key and c not in order]
     latest = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return latest.select(
@@ -62,19 +64,26 @@ def dedup_latest(
 
 
 def describe_long(long: DataFrame, by: Sequence[str], interpolate: bool) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of ``valor`` per group."""
+    """Count, mean, deviation, extremes and quartiles of ``valor`` per group.
+
+    The rows are read once, into counts of equal values; everything else comes from those."""
     by = list(by)
-    moments = long.groupBy(*by).agg(
-        F.count("valor").alias("n"),
-        F.avg("valor").alias("media"),
-        F.stddev_samp("valor").alias("desvio"),
+    counts = materialise(long.groupBy(*by, "valor").agg(F.count(F.lit(1)).alias("n")))
+    # A group that holds nulls only has a row with count 0.
+    groups = counts.select(*by).distinct()
+    valued = counts.filter("valor is not null").withColumn("s", F.col("valor") * F.col("n"))
+    ranked = running_totals(valued, "valor", ["n", "s"], by, saved=True)
+    gap = F.col("valor") - F.col("all_s") / F.col("all_n")
+    spread = F.try_divide(F.sum(F.col("n") * gap * gap), F.sum("n") - 1)
+    described = ranked.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        (F.sum("s") / F.sum("n")).alias("media"),
+        F.sqrt(spread).alias("desvio"),
         F.min("valor").alias("minimo"),
         F.max("valor").alias("maximo"),
+        *rank_quantiles("valor", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, interpolate),
     )
-    quartiles = exact_quantiles(
-        long, "valor", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by, interpolate
-    )
-    return moments.join(quartiles, by, "left")
+    return groups.join(described, by, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
 def as_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

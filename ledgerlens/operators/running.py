@@ -20,6 +20,7 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    saved: bool = False,
 ) -> DataFrame:
     """Add ``cum_<x>`` (total of ``x`` up to and including the row, in ``value`` order within
     ``by``) and ``all_<x>`` (total within ``by``). ``df`` holds one row per ``by`` and ``value``.
@@ -27,9 +28,9 @@ def running_totals(
     The values are cut into ranges at approximate quantiles, as many as the row count asks for:
     each range is summed on its own and shifted by the totals of the ranges before it. The cut
     points are literals, so both sides of that shift always agree on the ranges, also when tasks
-    are run again."""
+    are run again. ``saved`` rows are not checkpointed first."""
     by, sums = list(by), list(sums)
-    df = materialise(df)
+    df = df if saved else materialise(df)
     rows = df.count()
     buckets = 1 + -(-rows // rows_per_bucket)
     order = F.desc(value) if descending else F.asc(value)
@@ -107,6 +108,11 @@ def exact_quantiles(
     by = list(by)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, value, ["n"], by, rows_per_bucket=rows_per_bucket)
+    return ranked.groupBy(*by).agg(*rank_quantiles(value, probs, interpolate))
+
+
+def rank_quantiles(value: str, probs: dict[str, float], interpolate: bool) -> list[Column]:
+    """Quantiles as aggregates over distinct values with ``n``, ``cum_n`` and ``all_n``."""
 
     def at(rank: Column) -> Column:
         here = (F.col("cum_n") - F.col("n") < rank) & (rank <= F.col("cum_n"))
@@ -122,4 +128,4 @@ def exact_quantiles(
         else:
             rank = F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("all_n")))
             out.append(at(rank).alias(name))
-    return ranked.groupBy(*by).agg(*out)
+    return out

@@ -21,23 +21,32 @@ def _pearson(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+PAIR_ROWS = 4
+
+
 def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(par, r) for each numbered pair, over the rows where both columns are present.
 
-    One scan: every row is laid out once per pair and summed map-side, so a task sends one row
-    per pair. One aggregate per pair in a single wide row would outgrow generated code."""
+    One scan: the pairs are dealt to ``PAIR_ROWS`` groups, every row is laid out once per group and
+    a group's correlations are summed side by side, map-side. One aggregate over all pairs would
+    outgrow generated code; one row per pair would multiply the table by their number."""
+    width = -(-len(pairs) // PAIR_ROWS)
+    nothing = F.lit(None).cast("double")
     entries = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        entries.append(
-            F.struct(
-                F.lit(i).alias("par"),
-                F.when(y.isNotNull(), x).alias("x"),
-                F.when(x.isNotNull(), y).alias("y"),
-            )
-        )
-    long = df.select(F.inline(F.array(*entries)))
-    return long.groupBy("par").agg(_pearson("x", "y").alias("r"))
+    for g in range(-(-len(pairs) // width)):
+        fields = [F.lit(g).alias("grupo")]
+        for i in range(width):
+            x, y = nothing, nothing
+            if g * width + i < len(pairs):
+                x, y = (F.col(c).cast("double") for c in pairs[g * width + i])
+            fields += [F.when(y.isNotNull(), x).alias(f"x{i}"), F.when(x.isNotNull(), y).alias(f"y{i}")]
+        entries.append(F.struct(*fields))
+    wide = df.select(F.inline(F.array(*entries))).groupBy("grupo")
+    found = wide.agg(*[_pearson(f"x{i}", f"y{i}").alias(f"r{i}") for i in range(width)])
+    cells = [
+        F.struct((F.col("grupo") * width + i).alias("par"), F.col(f"r{i}").alias("r")) for i in range(width)
+    ]
+    return found.select(F.inline(F.array(*cells))).filter(F.col("par") < len(pairs))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_AND_TARGET) -> DataFrame:
