@@ -7,6 +7,7 @@ import time
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -100,8 +101,9 @@ def fit_adaboost(
 ) -> PipelineModel:
     """Discrete boosting of shallow trees: after each round the rows it got wrong gain weight.
 
-    The reweighting is one projection on the scored frame; every ``checkpoint_every`` rounds the
-    frame is checkpointed so its plan stays short. The fitted model is the trees followed by one
+    The reweighting is one projection on the scored frame, kept in memory or on disk until the next
+    round has read it; every ``checkpoint_every`` rounds the frame is checkpointed so its plan stays
+    short and a lost executor repeats few rounds. The fitted model is the trees followed by one
     projection that sums their votes."""
     stage = assembler(encoding)
     frame = stage.transform(train).select(target, "features", F.lit(1.0).alias("peso"))
@@ -134,11 +136,16 @@ def fit_adaboost(
         # Weights are kept at mean 1 so they neither vanish nor overflow.
         growth = F.when(wrong, F.col("peso") * math.exp(vote)).otherwise(F.col("peso"))
         total = sums["all"] - sums["bad"] + sums["bad"] * math.exp(vote)
-        frame = scored.select(
+        before, frame = frame, scored.select(
             target, "features", (growth * (sums["all"] / total)).alias("peso")
         )
         if (r + 1) % checkpoint_every == 0:
             frame = materialise(frame)
+        else:
+            frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+            frame.count()
+        before.unpersist()
+    frame.unpersist()
 
     names = [tree.getPredictionCol() for tree in trees]
     ballots = " + ".join(f"{v!r}D * (2 * {name} - 1)" for name, v in zip(names, votes))

@@ -190,6 +190,13 @@ _FULL_SILVER = _silver("SELECT * FROM silver")
 _RATE_CATEGORY_SQL = """SELECT category, count(*) AS transacoes, CAST(sum(is_fraud) AS BIGINT) AS fraudes,
   round(avg(is_fraud) * 100, 3) AS taxa_fraude_pct FROM silver GROUP BY category"""
 
+_LEARNERS = {
+    "model_logreg": ["regressao_logistica"],
+    "model_tree": ["arvore_decisao"],
+    "model_forest": ["random_forest"],
+    "model_gbt": ["hist_gradient_boosting", "lightgbm", "xgboost"],
+    "model_adaboost": ["adaboost"],
+}
 _INFERRED = ", ".join(
     f"({i}, '{name}', '{kind}')"
     for i, (name, kind) in enumerate(
@@ -230,6 +237,28 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 1, false, fraud FROM c
         UNION ALL SELECT 1, true, CAST(floor(0.5e0 * legit) AS BIGINT) - fraud FROM c
           WHERE floor(0.5e0 * legit) > fraud""",
+    "smotenc": f"""WITH {_MODELLING},
+        c AS (SELECT count(*) FILTER (is_fraud = 0) AS legit, count(*) FILTER (is_fraud = 1) AS fraud FROM train)
+        SELECT 0 AS is_fraud, false AS sintetico, legit AS n, true AS dentro FROM c
+        UNION ALL SELECT 1, false, fraud, true FROM c
+        UNION ALL SELECT 1, true, CAST(floor(0.5e0 * legit) AS BIGINT) - fraud, true FROM c
+          WHERE floor(0.5e0 * legit) > fraud""",
+    **{
+        name: f"""WITH {_MODELLING} SELECT modelo, count(*) AS linhas, count(*) FILTER (is_fraud = 1) AS fraudes,
+          true AS probabilidades, true AS roc_acima_do_acaso, true AS pr_acima_do_acaso
+          FROM test, (VALUES {', '.join(f"('{m}')" for m in learners)}) v(modelo) GROUP BY modelo"""
+        for name, learners in _LEARNERS.items()
+    },
+    "score_batch": f"""WITH {_MODELLING} SELECT trans_num, 0.5e0 AS limiar, true AS probabilidade,
+        true AS decisao_coerente FROM test""",
+    "stream_score": f"""WITH {_MODELLING} SELECT category, state, gender, amt, city_pop,
+        CAST(age AS DOUBLE) AS age, distance_km, "hour", day_of_week, "month", 0.5e0 AS limiar,
+        true AS probabilidade, true AS decisao_coerente FROM test""",
+    "permutation_importance": "SELECT *, true AS no_intervalo, true AS alguma_positiva FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in [*CATEGORICAL, *NUMERIC])
+    + ") v(variavel)",
+    "retrain_summary": """SELECT * FROM (VALUES (1, true, false, true), (2, false, true, true))
+        v(rodada, promovido, havia_campeao, area_valida)""",
     "compare_models": f"""WITH {_MODELLING}
         SELECT modelo, true AS registrado, true AS medido, true AS acima_do_acaso,
           (SELECT count(*) FROM test) AS linhas_pontuadas, 10::BIGINT AS variaveis

@@ -531,8 +531,18 @@ def smotenc_neighbors(spark, sf):
 
 @query
 def smotenc(spark, sf):
+    """Rows by kind, and whether every synthetic fraud lies within the real ones in each number."""
     train, _ = modelling(spark, sf)
-    return retrain.prepare(train)[1]
+    encoding, balanced = retrain.prepare(train)
+    numbers = [f"{c}_pad" for c in encoding.moments]
+    frauds = balanced.filter("is_fraud = 1 and not sintetico")
+    ends = frauds.agg(*[F.min(c).alias(f"lo_{c}") for c in numbers], *[F.max(c).alias(f"hi_{c}") for c in numbers]).first()
+    inside = reduce(
+        lambda a, b: a & b, [F.col(c).between(ends[f"lo_{c}"] - 1e-9, ends[f"hi_{c}"] + 1e-9) for c in numbers]
+    )
+    return balanced.groupBy("is_fraud", "sintetico").agg(
+        F.count(F.lit(1)).alias("n"), F.min(inside | ~F.col("sintetico")).alias("dentro")
+    )
 
 
 @query
@@ -602,13 +612,26 @@ def feature_vector(spark, sf):
 
 
 def _trained(spark, sf, names):
-    """Metric row per model with its full rounds, evaluated on the untouched test rows."""
+    """Per model, with its full rounds: rows and frauds it was measured on, whether all scores are
+    probabilities, and whether it beats chance on the untouched test rows in both areas."""
     train, test = modelling(spark, sf)
     encoding, balanced = retrain.prepare(train)
     _, scored, failures = models.train_all(names, balanced, test, encoding)
     if failures:
         raise RuntimeError(f"models failed: {failures}")
-    return metrics.metric_summary(metrics.score_points(scored, ["modelo"]))
+    scored = materialise(scored)
+    summary = metrics.metric_summary(metrics.score_points(scored, ["modelo"]))
+    sizes = scored.groupBy("modelo").agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.count_if(F.col("y") == 1).alias("fraudes"),
+        F.min(F.col("p").between(0, 1)).alias("probabilidades"),
+        F.try_divide(F.sum(F.col("y") * F.col("w")), F.sum("w")).alias("_acaso"),
+    )
+    return sizes.join(summary, "modelo").select(
+        "modelo", "linhas", "fraudes", "probabilidades",
+        (F.col("roc_auc_w") > 0.5).alias("roc_acima_do_acaso"),
+        (F.col("pr_auc_w") > F.col("_acaso")).alias("pr_acima_do_acaso"),
+    )
 
 
 @query
@@ -666,10 +689,21 @@ def _tree(spark, sf):
     return encoding, models.fit_model("arvore_decisao", balanced, encoding), test
 
 
+def _checked(answers, keep):
+    p = F.col("probabilidade_fraude")
+    return answers.select(
+        *keep,
+        "limiar",
+        p.between(0, 1).alias("probabilidade"),
+        (F.col("fraude") == (p >= F.col("limiar"))).alias("decisao_coerente"),
+    )
+
+
 @query
 def score_batch(spark, sf):
+    """Every test row has a probability, and a decision that follows from it."""
     encoding, model, test = _tree(spark, sf)
-    return models.score_batch(test, models.with_encoder(encoding, model), 0.5, ["trans_num"])
+    return _checked(models.score_batch(test, models.with_encoder(encoding, model), 0.5, ["trans_num"]), ["trans_num"])
 
 
 @query
@@ -684,7 +718,14 @@ def score_agreement(spark, sf):
 @query
 def permutation_importance(spark, sf):
     encoding, model, test = _tree(spark, sf)
-    return models.permutation_importance(test, model, encoding)
+    """Each variable has one importance, a drop of an area; shuffling the best one costs some."""
+    drops = materialise(models.permutation_importance(test, model, encoding))
+    best = drops.agg(F.max("importancia").alias("maior"))
+    return drops.join(best).select(
+        "variavel",
+        (F.abs("importancia") <= 1).alias("no_intervalo"),
+        (F.col("maior") > 0).alias("alguma_positiva"),
+    )
 
 
 @query
@@ -815,10 +856,11 @@ def stream_score(spark, sf):
     encoding, model, test = _tree(spark, sf)
     root = new_folder(spark, "stream")
     test.select(F.to_json(F.struct(*schemas.FEATURES)).alias("value")).write.text(f"{root}/requests")
-    return scoring.score_available(
+    answers = scoring.score_available(
         spark, models.with_encoder(encoding, model),
         f"{root}/requests", f"{root}/answers", f"{root}/checkpoint",
     )
+    return _checked(answers, schemas.FEATURES)
 
 
 # Whole jobs
@@ -858,8 +900,13 @@ def etl_gold(spark, sf):
 
 @query
 def retrain_summary(spark, sf):
-    """Two retrains in a row: the first has no champion, the second challenges it."""
+    """Two retrains in a row: the first has no champion, the second challenges it with an equal."""
     train, test = modelling(spark, sf)
     cfg = retrain.RetrainConfig(new_folder(spark, "retreino"))
-    runs = [retrain.retrain(spark, train, test, cfg) for _ in range(2)]
-    return runs[0].unionByName(runs[1])
+    runs = [retrain.retrain(spark, train, test, cfg).withColumn("rodada", F.lit(i)) for i in (1, 2)]
+    return runs[0].unionByName(runs[1]).select(
+        "rodada",
+        "promovido",
+        F.col("pr_auc_atual").isNotNull().alias("havia_campeao"),
+        F.col("pr_auc_desafiante").between(0, 1).alias("area_valida"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -19,22 +21,30 @@ def test_every_statement_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# Hundreds of boosting rounds each; ``LEDGERLENS_ALL=1`` runs them too. Their learners and the job
+# are tested with few rounds in test_layers.
+LONG = {"model_gbt", "model_adaboost", "retrain_summary"}
+# The training-data queries have tests of their own.
+OWN = {q for q in ORACLES if q == "pipeline" or q.startswith("op") and q[2:3].isdigit()}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - OWN))
 def test_matches_sql(spark, con, small, name):
+    if name in LONG and not os.environ.get("LEDGERLENS_ALL"):
+        pytest.skip("long")
     assert difference(QUERIES[name](spark, small), con, ORACLES[name]) == ""
 
 
+def test_every_query_has_a_statement():
+    own = {q for q in QUERIES if q == "pipeline" or q.startswith("op") and q[2:3].isdigit()}
+    assert set(QUERIES) - own == set(ORACLES) - OWN
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert len(rows) == 6 and all(0 <= r["taxa"] <= 1 for r in rows)
 
 
-@pytest.mark.parametrize("name", ["model_logreg", "model_tree", "model_forest"])
-def test_models(spark, small, name):
-    (row,) = QUERIES[name](spark, small).collect()
-    assert 0 < row["pr_auc_w"] <= 1 and 0.5 < row["roc_auc_w"] <= 1
-
-
 def test_fixture_has_one_parent_per_key(con):
     keys = [
         ("lineitem", "l_orderkey", "orders", "o_orderkey"),
