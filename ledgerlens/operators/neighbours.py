@@ -6,8 +6,9 @@ triangle inequality prunes:
 
 1. Equal points are merged first; each keeps its ``k + 1`` smallest ids, so a point shared by a
    large part of the rows is compared once.
-2. Points join the cell of their nearest pivot (a bounded, hash-chosen set of points). Cells are
-   split by hash into blocks of bounded size, so a dense cell is many blocks.
+2. Points join the cell of their nearest pivot (hash-chosen points, as many as the square root of
+   the point count asks for, so that cells stay small as data grow). Cells are split by hash into
+   blocks of bounded size, so a dense cell is many blocks.
 3. Each block finds an upper bound on its points' k-th distance among itself, and sends the
    points, packed, to those cells whose distance to the point can lie within the bound.
 4. Packed points meet packed blocks in an equi-join. Each pair is a small matrix computation
@@ -17,6 +18,7 @@ triangle inequality prunes:
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -33,11 +35,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_POINTS = 2_048
 CELL_POINTS = 512
-MAX_PIVOTS = 1_024
-MAX_TASKS = 20_000
+STRIP_POINTS = 256
 TIE_DIGITS = 9
 
 
+def pivot_count(points: int, cell_points: int) -> int:
+    """One per ``cell_points`` at first; beyond a million points they follow the square root, where
+    the search for a point's pivot and for its neighbours cost about the same."""
+    return max(1, min(-(-points // cell_points), math.ceil(2 * math.sqrt(points))))
+
+
 def squared_distances(a: np.ndarray, b: np.ndarray, numeric: int, mismatch: float) -> np.ndarray:
     """Matrix of squared distances; the first ``numeric`` columns are numbers, the rest codes."""
     out = np.zeros((len(a), len(b)))
@@ -64,15 +71,20 @@ def _distinct_points(rows: DataFrame, k: int) -> DataFrame:
 def _assign_cells(points: DataFrame, pivots: np.ndarray, numeric: int, mismatch: float) -> DataFrame:
     @F.pandas_udf("struct<cell:int, r:double>")
     def nearest(x: pd.Series) -> pd.DataFrame:
-        d2 = squared_distances(_matrix(x), pivots, numeric, mismatch)
-        cell = d2.argmin(axis=1)
-        return pd.DataFrame({"cell": cell, "r": np.sqrt(d2[np.arange(len(cell)), cell])})
+        points = _matrix(x)
+        cell, r = np.zeros(len(points), dtype=int), np.zeros(len(points))
+        for at in range(0, len(points), STRIP_POINTS):
+            d2 = squared_distances(points[at : at + STRIP_POINTS], pivots, numeric, mismatch)
+            best = d2.argmin(axis=1)
+            cell[at : at + STRIP_POINTS] = best
+            r[at : at + STRIP_POINTS] = np.sqrt(d2[np.arange(len(best)), best])
+        return pd.DataFrame({"cell": cell, "r": r})
 
     return points.withColumn("_c", nearest("x")).select("x", "ids", "_c.cell", "_c.r")
 
 
 class _Cells:
-    """Per-cell figures, at most ``MAX_PIVOTS`` entries."""
+    """Per-cell figures, one entry per pivot."""
 
     def __init__(self, stats: list, pivots: np.ndarray, block_points: int):
         n = len(pivots)
@@ -157,7 +169,7 @@ def k_nearest(
     )
     points = materialise(_distinct_points(rows, k))
     n_points = points.count()
-    n_pivots = max(1, min(MAX_PIVOTS, -(-n_points // cell_points)))
+    n_pivots = pivot_count(n_points, cell_points)
     chosen = points.orderBy(F.xxhash64("x"), "x").limit(n_pivots).select("x").collect()
     if not chosen:
         return rows.withColumn(
@@ -184,7 +196,7 @@ def k_nearest(
     # Work per block outweighs its bytes, so the task count follows the blocks. No block can
     # become much hotter than another: each is compared with every point at most once.
     total = int(cells.blocks.sum())
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, min(total, MAX_TASKS))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, total)
     blocks = materialise(blocks).repartition(tasks, "cell", "part")
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,14 +204,16 @@ def k_nearest(
             for cell, members in zip(batch["cell"], batch["members"]):
                 x = _matrix([m["x"] for m in members])
                 n_ids = np.array([len(m["ids"]) for m in members])
-                to_pivots = np.sqrt(squared_distances(x, cells.pivots, n_num, mismatch))
-                bound = np.minimum(
-                    _own_bound(squared_distances(x, x, n_num, mismatch), n_ids, need),
-                    cells.upper_bound(to_pivots, need),
-                )
-                # The slack covers rounding: rows tied with the k-th distance must be met too.
-                reach = bound * (1 + 1e-9) + 1e-4
-                wanted = cells.lower_bounds(to_pivots, cell) <= reach[:, None]
+                own = _own_bound(squared_distances(x, x, n_num, mismatch), n_ids, need)
+                wanted = np.zeros((len(x), len(cells.pivots)), dtype=bool)
+                # In strips, so that memory does not grow with points times pivots.
+                for at in range(0, len(x), STRIP_POINTS):
+                    strip = slice(at, at + STRIP_POINTS)
+                    to_pivots = np.sqrt(squared_distances(x[strip], cells.pivots, n_num, mismatch))
+                    bound = np.minimum(own[strip], cells.upper_bound(to_pivots, need))
+                    # The slack covers rounding: rows tied with the k-th distance must be met too.
+                    reach = bound * (1 + 1e-9) + 1e-4
+                    wanted[strip] = cells.lower_bounds(to_pivots, cell) <= reach[:, None]
                 for target in np.nonzero(wanted.any(axis=0))[0]:
                     packed = x[wanted[:, target]].ravel().tobytes()
                     yield pd.DataFrame(

@@ -49,6 +49,11 @@ def test_equals_brute_force(spark, block, cell):
     assert found == want
 
 
+def test_pivots_grow_with_the_points():
+    counts = [neighbours.pivot_count(n, 512) for n in (1, 1_000, 10**6, 10**8)]
+    assert counts == [1, 2, 1_954, 20_000]
+
+
 def test_fewer_rows_than_neighbours(spark):
     rows = make_rows(3)
     df = spark.createDataFrame(rows, "id string, a double, b double, c double")
