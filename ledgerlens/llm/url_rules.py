@@ -2,10 +2,13 @@
 
 Every rule names literal tokens that any url it matches must hold. Tokens are counted over all
 urls, each rule is filed under its rarest one, a url fetches the rules filed under its tokens, and
-only those run their regular expression. DataFrame functions only."""
+only those run their regular expression. DataFrame functions only. Rules are broadcast while there
+are at most ``BROADCAST_RULES`` of them, so a frequent token of the urls is not shuffled; beyond
+that the optimizer chooses the join."""
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -14,6 +17,8 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TOKEN_END = r"[^0-9A-Za-z]+"
+BROADCAST_RULES = 20_000
+_RULES = "array<struct<rule:string,verdict:string,pattern:string,site:boolean,literals:array<string>>>"
 
 
 @dataclass(frozen=True)
@@ -84,17 +89,20 @@ def _tokens() -> Column:
     return F.array_distinct(F.filter(F.split(F.concat("host", "path"), _TOKEN_END, -1), lambda t: t != ""))
 
 
+def _small(of_rules: DataFrame, rules: int) -> DataFrame:
+    return F.broadcast(of_rules) if rules <= BROADCAST_RULES else of_rules
+
+
 def rule_index(urls: DataFrame, site_rules, pattern_rules) -> DataFrame:
     """One row per rule with the literal it is filed under; as many rows as rules."""
     rules = [(r.rule, r.verdict, r.pattern, isinstance(r, SiteRule), list(r.literals)) for r in (*site_rules, *pattern_rules)]
     bare = [r[0] for r in rules if not r[4]]
     if bare:
         raise ValueError(f"rules without a literal token: {bare}")
-    spark = urls.sparkSession
-    table = spark.createDataFrame(
-        rules, "rule string, verdict string, pattern string, site boolean, literals array<string>"
-    )
-    literals = table.select(F.explode("literals").alias("literal")).distinct()
+    names = ("rule", "verdict", "pattern", "site", "literals")
+    listed = json.dumps([dict(zip(names, r)) for r in rules])
+    table = urls.sparkSession.range(1).select(F.inline(F.from_json(F.lit(listed), _RULES)))
+    literals = _small(table.select(F.explode("literals").alias("literal")).distinct(), len(rules))
     seen = (
         urls.select(F.explode(_tokens()).alias("literal"))
         .join(literals, "literal", "left_semi")
@@ -130,6 +138,7 @@ def judge(
     kept = [c for c in keep if c.lower() not in names]
     urls = with_host_and_path(pages.select(*(F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(kept)), F.col(url).alias("__url")), "__url").drop("__url")
     index = rule_index(urls.select("host", "path"), site_rules, pattern_rules)
+    index = _small(index, len(site_rules) + len(pattern_rules))
     # The empty token keeps urls that fetch nothing; partial aggregation brings every url back to
     # one row before the shuffle.
     fetched = (
