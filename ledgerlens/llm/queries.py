@@ -189,3 +189,58 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op4_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     """Messages without quotes, in reply order."""
     return link_quotes(_table(spark, folder, "conversations"))
+
+
+ORACLES["op4_quotation_links"] = r"""
+WITH RECURSIVE
+messages AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, role,
+    translate(coalesce(text, ''), chr(30) || chr(31), '') AS t FROM conversations),
+raw AS (
+  SELECT id, unnest(string_split_regex(t, '\r\n|\n|\r')) AS line,
+    generate_subscripts(string_split_regex(t, '\r\n|\n|\r'), 1) AS i FROM messages),
+lines AS (
+  SELECT id, i, length(regexp_replace(regexp_extract(line, '\A(?:[ \t]?>)+'), '[^>]', '', 'g')) AS level,
+    regexp_replace(substr(line, length(regexp_extract(line, '\A(?:[ \t]?>)+')) + 1), '\A[ \t]', '') AS content
+  FROM raw),
+runs AS (
+  SELECT *, sum(new::INT) OVER (PARTITION BY id ORDER BY i) AS run
+  FROM (SELECT *, level IS DISTINCT FROM lag(level) OVER (PARTITION BY id ORDER BY i) AS new FROM lines)),
+bodies AS (
+  SELECT id, run, min(level) AS level, string_agg(content, chr(10) ORDER BY i) AS body FROM runs GROUP BY id, run),
+passages AS (
+  SELECT id, run, level, CASE
+    WHEN level = 0 AND lead(level, 1, 0) OVER (PARTITION BY id ORDER BY run) > 0
+    THEN regexp_replace(body, '(?:\A|\n)[^\n]{0,200}\bwrote:\s*\z', '') ELSE body END AS body FROM bodies),
+own AS (
+  SELECT id, string_agg(b, chr(10) || chr(10) ORDER BY run) AS text
+  FROM (SELECT id, run, regexp_replace(body, '\A\s+|\s+\z', '', 'g') AS b FROM passages WHERE level = 0)
+  WHERE b <> '' GROUP BY id),
+units AS (
+  SELECT DISTINCT id, run, level, trim(regexp_replace(
+    translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\s+', ' ', 'g'), ' ') AS unit
+  FROM (SELECT id, run, level, unnest(list_append(string_split_regex(body, '\n[ \t]*\n'), body)) AS part FROM passages)),
+placed AS (
+  SELECT conv_id, turn, level, unit FROM units JOIN messages USING (id)
+  WHERE unit <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+original AS (SELECT conv_id, unit, min(turn) AS source FROM placed WHERE level = 0 GROUP BY ALL),
+hits AS (
+  SELECT q.conv_id, turn, level, source, count(*) AS n
+  FROM (SELECT DISTINCT * FROM placed WHERE level > 0) q JOIN original o ON q.conv_id = o.conv_id AND q.unit = o.unit
+  WHERE source < turn GROUP BY ALL),
+links AS (
+  SELECT conv_id, turn, first(source ORDER BY level, n DESC, source DESC) AS reply_to, sum(n)::BIGINT AS n_linked
+  FROM hits GROUP BY ALL),
+walk(conv_id, turn, up, depth) AS (
+  SELECT conv_id, turn, reply_to, 1::BIGINT FROM links
+  UNION ALL SELECT w.conv_id, w.turn, l.reply_to, w.depth + 1
+  FROM walk w JOIN links l ON w.conv_id = l.conv_id AND w.up = l.turn),
+roots AS (SELECT conv_id, turn, arg_max(up, depth) AS thread, max(depth) AS depth FROM walk GROUP BY ALL),
+quoted AS (SELECT id, count_if(level > 0)::BIGINT AS n_quoted FROM passages GROUP BY id)
+SELECT m.conv_id, m.turn, role, coalesce(o.text, '') AS text, reply_to, coalesce(thread, m.turn) AS thread,
+  coalesce(depth, 0)::BIGINT AS depth, n_quoted, coalesce(n_linked, 0)::BIGINT AS n_linked,
+  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(o.text, '') AS formatted
+FROM messages m LEFT JOIN own o ON m.id = o.id JOIN quoted q ON m.id = q.id
+LEFT JOIN links l ON m.conv_id = l.conv_id AND m.turn = l.turn
+LEFT JOIN roots r ON m.conv_id = r.conv_id AND m.turn = r.turn
+"""

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
+import random
+
+import duckdb
 import pytest
 
 from ledgerlens.llm import quotes
+from ledgerlens.llm.queries import ORACLES
+from tests.compare import difference
 
 ROWS = [
     (1, 0, "user", "Hello there.\n\nHow are you?"),
@@ -43,6 +48,39 @@ def test_links_and_order(spark):
     assert quotes.link_quotes(frame.limit(0)).collect() == []
 
 
+def _chatter(seed: int) -> list[tuple]:
+    """Messages that quote earlier ones whole, in part, at several levels, or wrongly."""
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(6):
+        said: list[str] = []
+        for turn in range(12):
+            parts = []
+            for _ in range(rng.randint(0, 3)):
+                source = rng.choice(said) if said and rng.random() < 0.8 else f"never said {rng.randint(0, 9)}"
+                mark = rng.choice(["> ", ">", "> > ", ">> ", " >"])
+                lines = source.split("\n")
+                lines = lines[: rng.randint(1, len(lines))]
+                parts += rng.choice([[], ["Some One wrote:"], ["wrote: no end"]])
+                parts += [mark + (x.upper() if rng.random() < 0.3 else x) for x in lines]
+                parts += rng.choice([[], [""], ["In between", "", "and more"]])
+            parts += [f"message {rng.randint(0, 20)} of {conv}", "", f"paragraph {rng.randint(0, 5)}"][: rng.randint(0, 3)]
+            said.append("\n".join(x for x in parts if not x.lstrip().startswith(">")))
+            rows.append((conv, turn, rng.choice(["user", "assistant", None]), rng.choice(["\n", "\r\n"]).join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [ROWS, _chatter(1), _chatter(2), _chatter(3)], ids=["rows", "1", "2", "3"])
+def test_matches_sql(spark, rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = quotes.link_quotes(frame)
+    assert found.where("n_linked > 0").count() > 0
+    assert difference(found, con, ORACLES["op4_quotation_links"]) == ""
+
+
 def test_long_threads(spark):
     """Each message quotes the one before it."""
     rows = [(1, 0, "user", "message 0")] + [(1, i, "user", f"> message {i - 1}\nmessage {i}") for i in range(1, 40)]
