@@ -73,8 +73,8 @@ def _chunk_row(number: int, cut: bool, parts: list[tuple]) -> pa.RecordBatch:
         "flags": pa.array([flags.astype(np.uint8).tobytes()], pa.binary()),
         "lengths": pa.array([_pack(lengths)], pa.binary()),
         "stream": pa.array([_pack(place[inverse])], pa.binary()),
-        "high": pa.array([raw[:, 6:].tobytes()], pa.binary()),
-        "low": pa.array([raw[:, :6].tobytes()], pa.binary()),
+        "high": pa.array([raw[:, 4:].tobytes()], pa.binary()),
+        "low": pa.array([raw[:, :4].tobytes()], pa.binary()),
         "n_words": pa.array([len(words)], pa.int64()),
         "n_tokens": pa.array([len(tokens)], pa.int64()),
     }
@@ -119,12 +119,12 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
 
 def _high(row: dict) -> np.ndarray:
-    return np.frombuffer(row["high"], "<u2")
+    return np.frombuffer(row["high"], "<u4")
 
 
 def _words(row: dict) -> np.ndarray:
-    high = np.frombuffer(row["high"], np.uint8).reshape(-1, 2)
-    low = np.frombuffer(row["low"], np.uint8).reshape(-1, 6)
+    high = np.frombuffer(row["high"], np.uint8).reshape(-1, 4)
+    low = np.frombuffer(row["low"], np.uint8).reshape(-1, 4)
     return np.ascontiguousarray(np.concatenate([low, high], axis=1)).view("<u8").ravel()
 
 
@@ -156,8 +156,8 @@ def _word_codes(row: dict) -> np.ndarray:
 
 
 def _pair_codes(row: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    high = np.append(_high(row), np.uint16(_START)).astype(np.uint64)
-    return (high[left] << np.uint64(16)) | high[right] | np.uint64(1 << 40)
+    high = np.append(_high(row), np.uint32(_START)).astype(np.uint64)
+    return (high[left] << np.uint64(32)) | high[right]
 
 
 def _rows(batches):
@@ -172,6 +172,7 @@ _ANSWERED = "chunk long, shard int, kept binary, whole binary, kept_total long,
 
 def _counted(chunks: DataFrame, pairs: bool, shards: int) -> DataFrame:
     """What each shard answers each chunk, and one row of totals per shard (chunk null)."""
+    # A shard holds few enough pairs for five bytes of their hash to tell them apart.
     width = 5 if pairs else 8
 
     def ask(batches):
