@@ -142,7 +142,7 @@ class Scanner:
     def streams(self, words: tx.Words) -> list[tuple[int, np.ndarray]]:
         """(first word, tokens) of each run that can hold a match of two tokens or more."""
         at, token = self.words.find(words.hash)
-        if len(at) < 2:
+        if len(at) < 2 or not len(self.pairs):
             return []
         pair = token[:-1] * len(self.words.keys) + token[1:]
         place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
@@ -207,6 +207,10 @@ def build_scanner(phrases=PHRASES, templates=TEMPLATES) -> Scanner:
     words = tx.split_words(*tx.text_of(texts), tx.NON_WORD)
     keys, token = np.unique(words.hash, return_inverse=True)
     sequences = [token[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:])]
+    least = [2] * len(phrases) + [MIN_MATCH] * len(templates)
+    short = [t for t, s, n in zip(texts, sequences, least) if len(s) < n]
+    if short:
+        raise ValueError(f"too few words to be found: {short}")
     automaton = Automaton({})
     for sequence in sequences:
         automaton.add(sequence)
@@ -265,6 +269,7 @@ def scan(
 
     Null and word-less texts have no words, empty labels and score 0. Overlapping places each
     count; templates covered several times are listed once, by their fullest, then first, chain.
+    A phrase of one word or a template of fewer than three is refused; without any, nothing is found.
     Columns named like an added one are replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(build_scanner(phrases, templates))
 

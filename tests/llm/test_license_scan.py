@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from ledgerlens.llm import license_scan as ls
 from tests.llm import plain
 
@@ -62,6 +64,15 @@ def test_matching_statistics_are_longest_runs():
     assert scanner.chains(long)[0][0] == "t"
 
 
+def test_rules_that_cannot_match(spark):
+    for rules in ((("gpl", "gpl"),), ()), ((), (("t", "two words"),)), ((("?", "x"),), ()):
+        with pytest.raises(ValueError):
+            ls.build_scanner(*rules)
+    docs = spark.createDataFrame([(1, "mit license"), (2, None)], "doc_id long, text string")
+    rows = ls.scan(docs, phrases=(), templates=()).collect()
+    assert [(r["n_words"], r["n_base"], r["labels"], r["score"]) for r in rows] == [(2, 0, "", 0), (0, 0, "", 0)]
+
+
 def _tokens(scanner, text):
     from ledgerlens.llm import text as tx
 
