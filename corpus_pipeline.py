@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import decontaminate, langid, minhash, pii, sentencepiece
 from ledgerlens.session import new_folder
 
+SIMILAR = 80  # per cent of the union from which near_duplicates takes two texts for one
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters, where no language can be told, and fills a missing
@@ -22,9 +23,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group, and of repeated rows
-    one. Rows without an id cannot be told apart and stay."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    """Keeps the document with the smallest id of each near-duplicate group (``SIMILAR``), and of
+    repeated rows one. Rows without an id cannot be told apart and stay."""
+    kept = minhash.near_duplicates(docs, threshold=SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null"))
 

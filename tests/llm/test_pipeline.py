@@ -73,3 +73,20 @@ def test_awkward_rows(spark, small, awkward):
             out = stage(spark, out, small)
         kept = sorted(str(r["doc_id"]) for r in out.collect())
         assert kept == (["5", "6", "7", "8", "None"] if docs_in is docs else [])
+
+
+def test_near_copies_between_80_and_85_per_cent_are_one(spark, small):
+    """100 words each, of which the last ones differ."""
+    words = [f"w{i}" for i in range(100)]
+    near = words[:90] + [f"x{i}" for i in range(10)]  # 86 of 106 shingles: 0.81
+    far = words[:88] + [f"y{i}" for i in range(12)]  # 84 of 108: 0.78
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, small)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_near_duplicate_stage_against_plain_groups(spark, small, documents, texts):
+    group = plain.components({i: plain.shingles(t) for i, t in texts.items()}, 80)
+    kept = corpus_pipeline.near_duplicates(spark, documents, small)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in texts if group[i] == i}
