@@ -15,11 +15,14 @@ SIMILAR = 80  # per cent of the union from which near_duplicates takes two texts
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters, where no language can be told, and fills a missing
-    ``lang``. Profiles are learned from the labelled documents."""
+    ``lang``; a given one is kept, whatever the prediction and its score. Profiles are learned from
+    the labelled documents; where there are none, no language is filled in."""
     columns = docs.columns
-    found = langid.identify(docs, langid.learn(docs))
-    kept = found.where(F.col("lang_pred") != langid.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)
+    profiles = langid.learn(docs)
+    kept = langid.identify(docs, profiles, lettered=True).where("lettered")
+    if profiles.languages:
+        kept = kept.withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return kept.select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,15 +165,19 @@ def distances(profiles: Profiles, data: np.ndarray, offsets: np.ndarray) -> tupl
 
 
 _ADDED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+_LETTERED = T.StructType([*_ADDED.fields, T.StructField("lettered", T.BooleanType())])
 
 
-def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, profiles: Profiles, keep: list[str] | None = None, text: str = "text", lettered: bool = False
+) -> DataFrame:
     """One row per input row: the ``keep`` columns (all by default), ``lang_pred`` and ``score``
     (1 less the distance per gram as a share of the largest possible; 0 to 1).
 
     A null text, one without letters, or a model without languages gives ``und`` and 0. Equal
     distances go to the language that sorts first; equal frequencies inside a document to the
-    smaller gram code. Whole texts are counted whatever their length. Columns named like an added
+    smaller gram code. Whole texts are counted whatever their length. ``lettered`` adds a column of
+    that name: whether the text has letters, with or without a model. Columns named like an added
     one are replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(profiles)
 
@@ -181,15 +185,17 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None,
         model = shipped.value
         size = len(offsets) - 1
         if not model.languages:
-            return {"lang_pred": [UNKNOWN] * size, "score": np.zeros(size)}
+            none = {"lang_pred": [UNKNOWN] * size, "score": np.zeros(size)}
+            return none | ({"lettered": distances(model, data, offsets)[1] > 0} if lettered else {})
         far, many = distances(model, data, offsets)
         best = far.argmin(axis=1)
         score = 1 - far[np.arange(size), best] / np.maximum(1, many * model.size)
         names = np.array(model.languages, dtype=object)[best]
         names[many == 0] = UNKNOWN
-        return {"lang_pred": names, "score": np.where(many > 0, np.clip(score, 0, 1), 0.0)}
+        found = {"lang_pred": names, "score": np.where(many > 0, np.clip(score, 0, 1), 0.0)}
+        return found | ({"lettered": many > 0} if lettered else {})
 
-    return tx.map_texts(docs, docs.columns if keep is None else keep, _ADDED, work, text)
+    return tx.map_texts(docs, docs.columns if keep is None else keep, _LETTERED if lettered else _ADDED, work, text)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):

@@ -90,3 +90,12 @@ def test_near_duplicate_stage_against_plain_groups(spark, small, documents, text
     group = plain.components({i: plain.shingles(t) for i, t in texts.items()}, 80)
     kept = corpus_pipeline.near_duplicates(spark, documents, small)
     assert {r["doc_id"] for r in kept.collect()} == {i for i in texts if group[i] == i}
+
+
+def test_language_stage_keeps_letters_without_a_model(spark, small):
+    """No labels, labels on null texts only, and a label that reads like no language."""
+    for label, other, filled in ((None, None, None), (None, "en", None), ("und", None, "und")):
+        rows = [(1, "some clean words", label), (2, "other clean words", None), (3, "123 !", None), (4, None, other)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        got = corpus_pipeline.language(spark, docs, small).collect()
+        assert sorted((r["doc_id"], r["lang"]) for r in got) == [(1, filled), (2, filled)]
