@@ -2,8 +2,10 @@
 
 The automaton holds every run of tokens of every template. Texts are streamed through it token by
 token, which gives the matching statistics: the longest run ending at each token that occurs in
-some template, and where. Long maximal matches are chained per template, in text and template
-order, into covered spans; a template is reported when its chain covers enough of it.
+some template, and where. The words of long maximal matches are credited to every template that
+has ``MIN_MATCH`` of them in a row, wherever, also where another template's match goes on. The
+longest chain of a template's words in text and template order is its coverage, however far apart
+they stand; a template is reported when the chain covers enough of it, and gaps cut its span.
 
 Only runs of tokens whose neighbours also stand side by side in a template can hold a match of two
 tokens or more, so the stream skips the rest."""
@@ -138,6 +140,8 @@ class Scanner:
     words: Lookup
     pairs: np.ndarray  # allowed (token, next token) as one number, sorted
     ends: list[list[tuple[int, int]]]  # (phrase, length) ending in a state's strings
+    sequences: list[list[int]]
+    runs: dict[tuple[int, ...], list[tuple[int, int]]]  # places of each MIN_MATCH tokens in templates
 
     def streams(self, words: tx.Words) -> list[tuple[int, np.ndarray]]:
         """(first word, tokens) of each run that can hold a match of two tokens or more."""
@@ -173,35 +177,77 @@ class Scanner:
             long.append((first + len(tokens) - size, size, state))
         return found, long
 
+    def _credited(self, start: int, size: int, state: int):
+        """(word, template, token of the template) where a run of ``MIN_MATCH`` of a match's tokens
+        stands in a template."""
+        which, end = next(iter(self.automaton.place[state].items()))
+        tokens = self.sequences[which][end - size : end]
+        for x in range(size - MIN_MATCH + 1):
+            for template, y in self.runs.get(tuple(tokens[x : x + MIN_MATCH]), ()):
+                for k in range(MIN_MATCH):
+                    yield start + x + k, template, y + k
+
     def chains(self, long: list) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, coverage) of templates covered by chained matches of one document."""
-        out = []
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
+        """(label, start, end, coverage of the template) of each part of the fullest chain of each
+        template with matches in one document; of equally full ones, that which ends first and then
+        starts last."""
+        chains: dict[int, Chain] = {}
+        waiting: dict[int, dict[int, set[int]]] = {}
+
+        def advance(until: float) -> None:
+            for at in sorted(w for w in waiting if w < until):
+                for template, tokens in waiting.pop(at).items():
+                    chain = chains.get(template)
+                    if chain is None:
+                        chain = chains[template] = Chain(self.automaton.lengths[template])
+                    chain.add(at, tokens)
+
         for start, size, state in long:
-            for which, end in self.automaton.place[state].items():
-                by_template.setdefault(which, []).append((start, size, end - size))
-        for which, parts in by_template.items():
-            if which < self.n_phrases:
-                continue
-            length = self.automaton.lengths[which]
-            covered, begin, stop, at = 0, None, 0, 0
-            done = []
-            for start, size, place in parts:
-                skip = max(0, stop - start, at - place) if begin is not None else 0
-                ahead = begin is not None and skip < size and start - stop <= MAX_GAP and place - at <= MAX_GAP + skip
-                ahead = ahead and place + skip >= at
-                if not ahead:
-                    if begin is not None:
-                        done.append((covered, begin, stop))
-                    covered, begin, skip = 0, start, 0
-                covered += size - skip
-                stop, at = start + size, place + size
-            done.append((covered, begin, stop))
-            best = max(done, key=lambda d: (d[0], -d[1]))
-            out.append((self.labels[which], best[1], best[2], min(1.0, best[0] / length)))
+            # Matches come by start, so the words before this one are complete.
+            advance(start)
+            for at, template, token in self._credited(start, size, state):
+                waiting.setdefault(at, {}).setdefault(template, set()).add(token)
+        advance(float("inf"))
+        out = []
+        for template, chain in chains.items():
+            share = chain.covered / self.automaton.lengths[template]
+            out += [(self.labels[template], a, b, share) for a, b in chain.parts()]
         return sorted(out)
 
 
+class Chain:
+    """Longest common subsequence of a template and the words credited to it, word by word."""
+
+    def __init__(self, length: int):
+        # Of the best chain that ends with each token: tokens, then start; 0 for none.
+        self.keys = np.zeros(length + 1, dtype=np.int64)
+        self.ends: list[tuple | None] = [None] * (length + 1)  # (part's start, last word, earlier parts)
+        self.covered, self.best = 0, None
+        self.key = 0
+
+    def add(self, at: int, tokens: set[int]) -> None:
+        # From the right, so that a word is not used twice.
+        for token in sorted(tokens, reverse=True):
+            before = int(self.keys[: token + 1].argmax())
+            key = int(self.keys[before])
+            key = key + (1 << 40) if key else (1 << 40) + at
+            if key <= self.keys[token + 1]:
+                continue
+            end = self.ends[before]
+            near = end is not None and at - end[1] - 1 <= MAX_GAP
+            end = (end[0], at, end[2]) if near else (at, at, end)
+            self.keys[token + 1], self.ends[token + 1] = key, end
+            if key >> 40 > self.covered or (self.best[1] == at and key > self.key):
+                self.covered, self.best, self.key = key >> 40, end, key
+
+    def parts(self) -> list[tuple[int, int]]:
+        out, end = [], self.best
+        while end is not None:
+            out.append((end[0], end[1] + 1))
+            end = end[2]
+        return out[::-1]
+
+
 def build_scanner(phrases=PHRASES, templates=TEMPLATES) -> Scanner:
     texts = [p for p, _ in phrases] + [t for _, t in templates]
     words = tx.split_words(*tx.text_of(texts), tx.NON_WORD)
@@ -226,7 +272,11 @@ def build_scanner(phrases=PHRASES, templates=TEMPLATES) -> Scanner:
     for state in sorted(range(1, len(automaton.size)), key=lambda s: automaton.size[s]):
         ends[state] = own.get(state, []) + ends[automaton.link[state]]
     labels = [label for _, label in phrases] + [label for label, _ in templates]
-    return Scanner(automaton, labels, len(phrases), Lookup(keys), pairs, ends)
+    runs: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    for which, sequence in list(enumerate(sequences))[len(phrases) :]:
+        for at in range(len(sequence) - MIN_MATCH + 1):
+            runs.setdefault(tuple(sequence[at : at + MIN_MATCH]), []).append((which, at))
+    return Scanner(automaton, labels, len(phrases), Lookup(keys), pairs, ends, sequences, runs)
 
 
 _SPAN = T.StructType(
@@ -265,10 +315,11 @@ def scan(
     """One row per input row: the ``keep`` columns (all by default), ``n_words``, ``n_base`` (places
     of phrases), ``first_word`` and ``last_word`` (their smallest and largest start, else null),
     ``base_labels``, ``labels`` (those of covered templates too), ``score`` (1 with a phrase, else
-    the best coverage of a template) and ``license_spans`` (covered templates as word ranges).
+    the best coverage of a template) and ``license_spans`` (covered templates as word ranges; one
+    interrupted by more than ``MAX_GAP`` words has a range for each part, with its whole coverage).
 
     Null and word-less texts have no words, empty labels and score 0. Overlapping places each
-    count; templates covered several times are listed once, by their fullest, then first, chain.
+    count; templates covered several times are listed by their fullest, then first, chain only.
     A phrase of one word or a template of fewer than three is refused; without any, nothing is found.
     Columns named like an added one are replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(build_scanner(phrases, templates))

@@ -84,3 +84,67 @@ def test_awkward_rows(awkward, no_docs):
     assert len(rows) == awkward.count()
     check(rows)
     assert ls.scan(no_docs).collect() == []
+
+
+def _plain_coverage(words, template):
+    """Longest common subsequence over the words that stand in common runs of three."""
+    t = plain.alnum(template)
+    cells = {
+        (i + k, j + k)
+        for i in range(len(words) - 2)
+        for j in range(len(t) - 2)
+        if words[i : i + 3] == t[j : j + 3]
+        for k in range(3)
+    }
+    best = [0] * (len(t) + 1)
+    for i in range(len(words)):
+        row = [0]
+        for j in range(len(t)):
+            row.append(max(best[j + 1], row[j], best[j] + 1 if (i, j) in cells else 0))
+        best = row
+    return best[-1] / len(t)
+
+
+def _scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r for r in sorted(ls.scan(docs).collect(), key=lambda r: r["doc_id"])]
+
+
+def test_templates_get_their_own_matches(spark):
+    """Words that another template's match goes on with, and insertions of more than MAX_GAP words."""
+    notice = dict(ls.TEMPLATES)["cc-by-4.0"]
+    mit = plain.alnum(dict(ls.TEMPLATES)["mit-text"])
+    line = "copyright 2024 some one and others of some firm somewhere".split()
+    rows = _scanned(
+        spark,
+        [
+            f"x {notice.replace(' a ', ' the ')}",
+            " ".join(["x", *mit[:30], *line, *mit[30:], "y"]),
+            " ".join([*mit[:20], *line * 3, *mit]),
+        ],
+    )
+    assert rows[0]["labels"] == "cc-by-4.0" and rows[0]["score"] == 12 / 13
+    assert rows[1]["labels"] == "mit-text" and rows[1]["score"] == 1
+    assert [(s["start"], s["end"]) for s in rows[1]["license_spans"]] == [(1, 31), (41, 41 + len(mit) - 30)]
+    assert [(s["start"], s["end"]) for s in rows[2]["license_spans"]] == [(50, 50 + len(mit))]
+
+
+def test_coverage_is_the_longest_chain(spark):
+    rng = random.Random(4)
+    templates = [t.split() for _, t in ls.TEMPLATES]
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 8)):
+            t = rng.choice(templates)
+            a = rng.randrange(len(t))
+            parts += t[a : a + rng.randint(1, 30)] + ["word"] * rng.choice([0, 0, 1, 12])
+        texts.append(" ".join(parts))
+    for text, r in zip(texts, _scanned(spark, texts)):
+        words = plain.alnum(text)
+        share = {label: _plain_coverage(words, t) for label, t in ls.TEMPLATES}
+        covered = {label for label, c in share.items() if c >= ls.COVERAGE}
+        assert set(filter(None, r["labels"].split(","))) == covered | set(filter(None, r["base_labels"].split(",")))
+        if not r["n_base"]:
+            assert abs(r["score"] - max(share.values())) < 1e-12
+        assert {(s["label"], s["coverage"]) for s in r["license_spans"]} == {(x, share[x]) for x in covered}
