@@ -3,7 +3,7 @@
 Quote levels are the ``>`` marks before a line. Lines of one level that follow each other form a
 passage. Quoted passages, whole and by paragraph, are normalised, hashed and joined to the earliest
 message of the conversation that wrote them at level 0; the message quoted most at the lowest level
-is the one replied to. Threads follow from reply links by pointer doubling. DataFrame functions
+is the one replied to. On request passages are hashed by line too, and the longest unit counts. Threads follow from reply links by pointer doubling. DataFrame functions
 only; no group is gathered: the original of a passage is a minimum, combined before the shuffle."""
 
 from __future__ import annotations
@@ -64,9 +64,35 @@ def _units(body: Column) -> Column:
     )
 
 
-def parse(messages: DataFrame, text: str = "text") -> DataFrame:
+_WHOLE, _PARAGRAPH, _LINE = 2, 1, 0
+
+
+def _graded_units(body: Column) -> Column:
+    """(whole, paragraph, grade, unit, size) of the normalised passage, its paragraphs and their
+    lines: hashes, and the characters of the unit. What equals a longer unit is left out."""
+    digest = lambda u: F.sha2(u, 256)
+    whole = _normal(body)
+
+    def unit(paragraph: Column, grade: int, text: Column) -> Column:
+        fields = digest(whole), digest(paragraph), F.lit(grade), digest(text), F.length(text)
+        names = ("whole", "paragraph", "grade", "unit", "size")
+        return F.struct(*(f.alias(n) for f, n in zip(fields, names, strict=True)))
+
+    def parts(paragraph: Column) -> Column:
+        as_one = _normal(paragraph)
+        lines = F.filter(F.transform(F.split(paragraph, "\n", -1), _normal), lambda x: (x != "") & (x != as_one))
+        return F.concat(
+            F.filter(F.array(unit(as_one, _PARAGRAPH, as_one)), lambda _: (as_one != "") & (as_one != whole)),
+            F.transform(F.array_distinct(lines), lambda x: unit(as_one, _LINE, x)),
+        )
+
+    inner = F.flatten(F.transform(F.split(body, r"\n[ \t]*\n", -1), parts))
+    return F.when(whole != "", F.concat(F.array(unit(whole, _WHOLE, whole)), inner))
+
+
+def parse(messages: DataFrame, text: str = "text", by_line: bool = False) -> DataFrame:
     """Adds ``passages`` (level, body) and ``own``: the level-0 text, without the line that names
-    the author of a quote that follows it."""
+    the author of a quote that follows it. ``by_line`` takes such lines from quotes, too."""
     lines = messages.withColumn("__lines", _lines(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     found = lines.withColumn("passages", _passages(F.col("__lines"))).drop("__lines")
     following = lambda i: F.coalesce(F.get("passages", i + 1)["level"], F.lit(0))
@@ -74,7 +100,7 @@ def parse(messages: DataFrame, text: str = "text") -> DataFrame:
         "passages",
         lambda p, i: F.struct(
             p["level"].alias("level"),
-            F.when((p["level"] == 0) & (following(i) > 0), F.regexp_replace(p["body"], _ATTRIBUTION, "")).otherwise(p["body"]).alias("body"),
+            F.when(((p["level"] == 0) | F.lit(by_line)) & (following(i) > p["level"]), F.regexp_replace(p["body"], _ATTRIBUTION, "")).otherwise(p["body"]).alias("body"),
         ),
     )
     found = found.withColumn("passages", clean)
@@ -97,6 +123,29 @@ def reply_links(parsed: DataFrame) -> DataFrame:
     )
 
 
+def line_links(parsed: DataFrame) -> DataFrame:
+    """Like ``reply_links``, with lines as units: of a quoted passage the longest units that were
+    written earlier count, and the message with most of their characters is replied to."""
+    units = parsed.where("conv is not null and turn is not null").select("conv", "turn", F.explode("passages").alias("p"))
+    units = units.select("conv", "turn", F.col("p.level").alias("level"), F.explode(_graded_units(F.col("p.body"))).alias("u"))
+    units = units.select("conv", "turn", "level", "u.*")
+    original = units.where("level = 0").groupBy("conv", "unit").agg(F.min("turn").alias("source"))
+    hits = materialise(units.where("level > 0").distinct().join(original, ["conv", "unit"]).where("source < turn"))
+    passage = ["conv", "turn", "level", "whole"]
+    found = hits.where(f"grade = {_WHOLE}")
+    smaller = hits.where(f"grade < {_WHOLE}").join(found.select(*passage), passage, "left_anti")
+    paragraphs = smaller.where(f"grade = {_PARAGRAPH}")
+    lines = smaller.where(f"grade = {_LINE}").join(paragraphs.select(*passage, "paragraph"), [*passage, "paragraph"], "left_anti")
+    columns = ["conv", "turn", "level", "unit", "size", "source"]
+    # A unit that stands in several places of a message counts once.
+    counted = found.select(*columns).unionByName(paragraphs.select(*columns)).unionByName(lines.select(*columns)).distinct()
+    best = counted.groupBy("conv", "turn", "level", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    return best.groupBy("conv", "turn").agg(
+        F.min(F.struct("level", -F.col("size"), -F.col("source"), "source"))["source"].alias("reply_to"),
+        F.sum("n").alias("n_linked"),
+    )
+
+
 def threads(links: DataFrame) -> DataFrame:
     """(conv, turn, thread, depth): the turn that starts each linked message's thread, and how many
     replies lead to it. Each round doubles how far a message looks."""
@@ -110,13 +159,20 @@ def threads(links: DataFrame) -> DataFrame:
 
 
 def link_quotes(
-    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+    messages: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    by_line: bool = False,
 ) -> DataFrame:
     """One row per message row: ``conv_id``, ``turn``, ``role``, ``text`` (own words only),
     ``reply_to`` (turn, or null), ``thread`` (turn its thread starts with), ``depth`` (replies on
     the way), ``n_quoted`` (quoted passages), ``n_linked`` (quoted units found in earlier messages)
     and ``formatted`` (role header and text), ordered by conversation, thread, depth and turn, so
-    that a message follows the one it replies to.
+    that a message follows the one it replies to. Quoted units are passages and paragraphs, as in
+    the statement of the registered query; ``by_line`` adds the lines of paragraphs, of which the
+    longest unit that matches counts, and drops attribution lines inside quotes before a deeper one.
 
     A null text is empty; a message without links starts its own thread; quotes of later or
     unknown messages link nothing but are taken out all the same. Messages without conversation or
@@ -128,8 +184,8 @@ def link_quotes(
         F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
-    parsed = parse(source)
-    links = materialise(reply_links(parsed))
+    parsed = parse(source, by_line=by_line)
+    links = materialise(line_links(parsed) if by_line else reply_links(parsed))
     placed = materialise(links.join(threads(links), ["conv", "turn"]))
     own = parsed.select(
         "conv", "turn", "role", F.col("own").alias("text"),

@@ -99,3 +99,32 @@ def test_plan_has_no_python(spark, small, table):
     df = quotes.link_quotes(spark.read.parquet(f"{small}/{table}.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def _links(spark, rows, **options):
+    frame = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(rows)], "conv_id long, turn long, role string, text string")
+    got = quotes.link_quotes(frame, **options).collect()
+    return [(r["reply_to"], r["n_linked"]) for r in sorted(got, key=lambda r: r["turn"])]
+
+
+def test_quotes_of_lines(spark):
+    interleaved = ["line A\nline B", "> line A\nyes\n> line B\nno"]
+    assert _links(spark, interleaved, by_line=True) == [(None, 0), (0, 2)]
+    # The whole passage is one unit; its lines, which another message wrote earlier, do not count.
+    assert _links(spark, ["a\n\nb", "a\nb", "> a\n> b"], by_line=True) == [(None, 0), (None, 0), (0, 1)]
+    assert _links(spark, ["one", "two", "one\ntwo\nthree", "x\n> one\n> two\n> three"], by_line=True)[3] == (2, 1)
+    # Most characters, not most units.
+    assert _links(spark, ["ok", "a long line of text\nand more", "> ok\n> a long line of text"], by_line=True)[2] == (1, 2)
+
+
+def test_attributions_inside_quotes(spark):
+    rows = ["A text\nA more", "A wrote:\n> A text\nB text", "B wrote:\n> B text\n> A wrote:\n>> A text\nC text"]
+    assert _links(spark, rows, by_line=True) == [(None, 0), (0, 1), (1, 2)]
+
+
+def test_by_line_without_quotes_is_the_same(spark, small):
+    messages = spark.read.parquet(f"{small}/conversations.parquet")
+    lines = quotes.link_quotes(messages, by_line=True)
+    assert lines.exceptAll(quotes.link_quotes(messages)).isEmpty()
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
