@@ -34,15 +34,17 @@ _KEEP, _CUT, _HELD = 0, 1, 2
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers below 2^32, by byte planes, compressed."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+    """Whole numbers by byte planes, compressed: four planes, or eight if one is 2^32 or more."""
+    wide = 8 if len(values) and int(values.max()) >= 1 << 32 else 4
+    planes = np.ascontiguousarray(values.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide).T)
+    head = len(values).to_bytes(7, "little") + bytes([wide])
+    return head + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    size = int.from_bytes(raw[:8], "little")
-    planes = pa.Codec("zstd").decompress(raw[8:], decompressed_size=4 * size, asbytes=True) if size else b""
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, size).T).view("<u4").ravel()
+    size, wide = int.from_bytes(raw[:7], "little"), raw[7]
+    planes = pa.Codec("zstd").decompress(raw[8:], decompressed_size=wide * size, asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide, size).T).view(f"<u{wide}").ravel()
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:

@@ -105,3 +105,8 @@ def test_awkward_rows(awkward, no_docs):
 def test_packing():
     for values in ([], [0], [1, 2**32 - 1, 7] * 100):
         assert lm._unpack(lm._pack(np.array(values, dtype=np.int64))).tolist() == values
+
+
+def test_packing_of_large_totals():
+    for values in ([2**32], [3, 2**32 - 1, 2**53, 2**32 + 5] * 100):
+        assert lm._unpack(lm._pack(np.array(values, dtype=np.int64))).tolist() == values
