@@ -19,12 +19,14 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm import text as tx
 from ledgerlens.llm.tagger import Tagger
+from ledgerlens.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 64
 STRIDE = 32
 TRAINING_DOCS = 20_000  # expected size of the labelled sample
 STEPS = 250
+TRAINING_WINDOWS = 20_000  # expected number at most, with spans and without; training draws 16,000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -175,8 +177,8 @@ def training_windows(docs: DataFrame, text: str = "text", sample: int = TRAINING
 
     def label(batches):
         for batch in batches:
-            rows = []
             for _, _, data, offsets in tx.slices(batch.column(0)):
+                rows = []
                 for d in _candidates(data, offsets):
                     body, points = _points(data[offsets[d] : offsets[d + 1]])
                     tags = np.zeros(len(points), np.int8)
@@ -185,13 +187,25 @@ def training_windows(docs: DataFrame, text: str = "text", sample: int = TRAINING
                     starts = _window_starts(_triggers(points))
                     both = _cut(encode(points).astype(np.int8), starts), _cut(tags, starts)
                     rows += [(c.tobytes(), t.tobytes()) for c, t in zip(*both, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], names=["codes", "tags"]
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], names=["codes", "tags"]
+                )
 
     return chosen.mapInArrow(label, "codes binary, tags binary").distinct()
 
 
+def bounded(windows: DataFrame, most: int = TRAINING_WINDOWS) -> DataFrame:
+    """The windows, or about ``most`` of those with spans and of those without, chosen by hash."""
+    windows = materialise(windows.withColumn("filled", F.col("tags") != F.lit(bytes(WINDOW))))
+    total = {r["filled"]: r["n"] for r in windows.groupBy("filled").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = 1 << 40
+    draw = F.pmod(F.xxhash64("codes", "tags"), F.lit(parts))
+    under = F.lit(0)
+    for filled, n in total.items():
+        under = F.when(F.col("filled") == filled, F.lit(int(parts * min(1.0, most / n)))).otherwise(under)
+    return windows.where(draw < under).select("codes", "tags")
+
+
 def train(windows: list[tuple[bytes, bytes]], steps: int = STEPS) -> Tagger | None:
     """Tagger from labelled windows in any order; none where no window holds a span."""
     windows = sorted(windows)
@@ -211,13 +225,14 @@ def train(windows: list[tuple[bytes, bytes]], steps: int = STEPS) -> Tagger | No
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = TRAINING_DOCS, steps: int = STEPS) -> Tagger | None:
-    """Tagger trained in one task on a labelled sample of bounded size; none without a span."""
+    """Tagger trained in one task on a labelled sample, bounded in documents and in windows; none
+    without a span."""
 
     def work(batches):
         rows = [(r["codes"], r["tags"]) for batch in batches for r in batch.to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows, steps))], pa.binary())], names=["model"])
 
-    fitted = training_windows(docs, text, sample).coalesce(1).mapInArrow(work, "model binary").first()
+    fitted = bounded(training_windows(docs, text, sample)).coalesce(1).mapInArrow(work, "model binary").first()
     return pickle.loads(fitted["model"]) if fitted else None
 
 

@@ -131,3 +131,17 @@ def test_awkward_rows(awkward, no_docs):
     masked = pii.mask(awkward, model).collect()
     assert sorted(map(str, masked)) == sorted(map(str, awkward.collect()))
     assert pii.find(no_docs, model).collect() == []
+
+
+def test_training_windows_are_bounded(spark):
+    rng = random.Random(6)
+    gap = lambda: " " * rng.randint(1, 30) + "-" * rng.randint(1, 30) + "\n" * rng.randint(1, 30)
+    body = "".join((f"a{i}@b{i}.cc" if i % 2 else f"k{i}") + gap() + " word" * 30 for i in range(2000))
+    windows = pii.training_windows(spark.createDataFrame([(body,)], "text string"))
+    pairs = lambda df: sorted((bytes(r["codes"]), bytes(r["tags"])) for r in df.collect())
+    whole = pairs(windows)
+    assert min(sum(any(t) == f for _, t in whole) for f in (True, False)) > 600
+    kept = pairs(pii.bounded(windows, 200))
+    assert set(kept) <= set(whole)
+    assert all(120 < sum(any(t) == f for _, t in kept) < 280 for f in (True, False))
+    assert pairs(pii.bounded(windows)) == whole
