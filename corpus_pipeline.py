@@ -1,7 +1,8 @@
 """Training-data pipeline: language, near-duplicates, benchmark, personal data, piece ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of their input. A stage's result is written and read again before the next one."""
+of their input, with its own values whatever their names; the last replaces columns named ``ids``
+and ``n_tokens``. A stage's result is written and read again before the next one."""
 
 from __future__ import annotations
 
@@ -13,16 +14,23 @@ from ledgerlens.session import new_folder
 
 SIMILAR = 80  # per cent of the union from which near_duplicates takes two texts for one
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
+    """The input with columns c0, c1, ..., which no operator adds; those names by the old ones; and
+    the columns that give the old names back."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names, [F.col(n).alias(c) for c, n in names.items()]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters, where no language can be told, and fills a missing
     ``lang``; a given one is kept, whatever the prediction and its score. Profiles are learned from
     the labelled documents; where there are none, no language is filled in."""
-    columns = docs.columns
     profiles = langid.learn(docs)
-    kept = langid.identify(docs, profiles, lettered=True).where("lettered")
+    numbered, names, back = _numbered(docs)
+    kept = langid.identify(numbered, profiles, text=names["text"], lettered=True).where("lettered")
     if profiles.languages:
-        kept = kept.withColumn("lang", F.coalesce("lang", "lang_pred"))
-    return kept.select(*columns)
+        kept = kept.withColumn(names["lang"], F.coalesce(names["lang"], "lang_pred"))
+    return kept.select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    columns = docs.columns
-    return decontaminate.decontaminate(docs, items).where("n_hit = 0").select(*columns)
+    numbered, names, back = _numbered(docs)
+    return decontaminate.decontaminate(numbered, items, text=names["text"]).where("n_hit = 0").select(*back)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

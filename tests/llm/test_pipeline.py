@@ -99,3 +99,19 @@ def test_language_stage_keeps_letters_without_a_model(spark, small):
         docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
         got = corpus_pipeline.language(spark, docs, small).collect()
         assert sorted((r["doc_id"], r["lang"]) for r in got) == [(1, filled), (2, filled)]
+
+
+def test_clashing_columns_keep_their_values(spark, small, awkward):
+    docs = awkward.withColumn("source", F.lit("s"))
+    clashes = ("lang_pred", "lettered", "n_hit", "items", "hit_spans", "Score", "component_id", "n_shingles")
+    docs = docs.drop("score").withColumns({c: F.lit("taken") for c in clashes})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, small)
+        rows = docs.collect()
+        assert rows
+        if name != "piece_ids":
+            assert docs.columns == columns
+            taken = [c for c in columns if c not in ("doc_id", "text", "lang", "n_chars", "source")]
+            assert {r[c] for r in rows for c in taken} == {"taken"}
+    assert {r[c] for r in rows for c in clashes} == {"taken"}
