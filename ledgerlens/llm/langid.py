@@ -22,6 +22,8 @@ from ledgerlens.llm import text as tx
 PROFILE = 400
 MAX_N = 3
 UNKNOWN = "und"
+SLICE_BYTES = 500_000
+BLOCK = 1 << 18  # characters counted at a time
 _GRAM_BITS = np.uint64(40)
 _TABLE = 0x20000
 
@@ -44,50 +46,57 @@ def _letter_codes(points: np.ndarray) -> np.ndarray:
     return np.where(inside | (points > 0x3FFFF), codes, points)
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, 40-bit gram code) of every n-gram of letters with word borders, n up to 3."""
+def _lettered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(letter or 0 for a word border, document) along the slice: one border around each word."""
     points, borders = tx.code_points(data, offsets)
-    docs = len(offsets) - 1
-    # A border is put before and after each document.
-    codes = np.zeros(len(points) + 2 * docs, dtype=np.uint64)
-    doc = np.repeat(np.arange(docs), np.diff(borders))
-    codes[np.arange(len(points)) + 2 * doc + 1] = _letter_codes(points)
-    owner = np.repeat(np.arange(docs), np.diff(borders) + 2)
+    docs, many = len(offsets) - 1, np.diff(borders)
+    codes = np.zeros(len(points) + 2 * docs, dtype=np.uint32)
+    owner = np.repeat(np.arange(docs, dtype=np.int32), many + 2)
+    inner = np.ones(len(codes), dtype=bool)
+    inner[borders[:-1] + 2 * np.arange(docs)] = False
+    inner[borders[1:] + 2 * np.arange(docs) + 1] = False
+    codes[inner] = _letter_codes(points)
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (owner[1:] != owner[:-1])
-    codes, owner = codes[keep], owner[keep]
-    found, who = [], []
+    return codes[keep], owner[keep]
+
+
+def gram_counts(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, gram code) of the n-grams of letters with word borders, n up to 3, in
+    order, with counts. Grams are told apart by 40 bits of their hash, so two of a million distinct
+    ones fall together with a probability of 0.4. Counted ``block`` characters at a time, so memory
+    follows the letters and the distinct grams. Fewer than 2^24 documents."""
+    codes, owner = _lettered(data, offsets)
+    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
     for n in range(1, MAX_N + 1):
         size = len(codes) - n + 1
-        if size <= 0:
-            break
-        # Neither a border alone nor one between two words makes a gram.
-        good = owner[: size] == owner[n - 1 :]
-        inner = range(n) if n == 1 else range(1, n - 1)
-        for k in inner:
-            good &= codes[k : k + size] != 0
-        if n == 2:
-            good &= (codes[:size] != 0) | (codes[1 : 1 + size] != 0)
-        at = np.flatnonzero(good)
-        code = np.full(len(at), n, dtype=np.uint64)
-        for k in range(n):
-            code = code * np.uint64(0x200003) + codes[at + k]
-        found.append(tx.mix(code) >> (np.uint64(64) - _GRAM_BITS))
-        who.append(owner[at])
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(who), np.concatenate(found)
-
-
-def _counted(owner: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (owner, code) pairs in order, with counts; owners below 2^24."""
-    key = np.sort((owner.astype(np.uint64) << _GRAM_BITS) | code)
-    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(edge, len(key)))
-    key = key[edge]
+        for a in range(0, size, block):
+            b = min(size, a + block)
+            # Neither a border alone nor one between two words makes a gram.
+            good = owner[a:b] == owner[a + n - 1 : b + n - 1]
+            for k in range(n) if n == 1 else range(1, n - 1):
+                good &= codes[a + k : b + k] != 0
+            if n == 2:
+                good &= (codes[a:b] != 0) | (codes[a + 1 : b + 1] != 0)
+            at = a + np.flatnonzero(good)
+            code = np.full(len(at), n, dtype=np.uint64)
+            for k in range(n):
+                code = code * np.uint64(0x200003) + codes[at + k]
+            key = (owner[at].astype(np.uint64) << _GRAM_BITS) | (tx.mix(code) >> (np.uint64(64) - _GRAM_BITS))
+            parts.append(_summed([(key, np.ones(len(key), np.int64))]))
+    key, count = _summed(parts)
     return (key >> _GRAM_BITS).astype(np.int64), key & ((np.uint64(1) << _GRAM_BITS) - np.uint64(1)), count
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with their summed counts."""
+    key, count = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[edge], np.add.reduceat(count, edge) if len(edge) else count
+
+
 @dataclass
 class Profiles:
     """Gram codes of all profiles, and their rank in each (``size``: not there)."""
@@ -107,15 +116,13 @@ def learn(training: DataFrame, text: str = "text", lang: str = "lang", size: int
         for batch in batches:
             labels = batch.column(1).dictionary_encode()
             names, which = labels.dictionary.to_pylist(), labels.indices.to_numpy()
-            for at, to, data, offsets in tx.slices(batch.column(0)):
-                doc, code = grams(data, offsets)
-                owner, code, n = _counted(which[at:to][doc], code)
-                for k in np.unique(owner):
-                    mine = owner == k
+            for at, to, data, offsets in tx.slices(batch.column(0), SLICE_BYTES):
+                doc, code, n = gram_counts(data, offsets)
+                label = which[at:to][doc]
+                for k in np.unique(label):
+                    mine = label == k
                     old = total.get(names[k], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-                    merged, where = np.unique(np.concatenate([old[0], code[mine]]), return_inverse=True)
-                    sums = np.bincount(where, np.concatenate([old[1], n[mine]]).astype(float), len(merged))
-                    total[names[k]] = (merged, sums.astype(np.int64))
+                    total[names[k]] = _summed([old, (code[mine], n[mine])])
         for name, (code, n) in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(code)), pa.array(code.astype(np.int64)), pa.array(n)],
@@ -146,7 +153,7 @@ def learn(training: DataFrame, text: str = "text", lang: str = "lang", size: int
 def distances(profiles: Profiles, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Out-of-place distance of each document to each profile, and how many grams were compared."""
     docs = len(offsets) - 1
-    owner, code, count = _counted(*grams(data, offsets))
+    owner, code, count = gram_counts(data, offsets)
     order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - count.astype(np.uint64)), kind="stable")
     owner, code = owner[order], code[order]
     many = np.bincount(owner, minlength=docs)
@@ -177,8 +184,8 @@ def identify(
     A null text, one without letters, or a model without languages gives ``und`` and 0. Equal
     distances go to the language that sorts first; equal frequencies inside a document to the
     smaller gram code. Whole texts are counted whatever their length. ``lettered`` adds a column of
-    that name: whether the text has letters, with or without a model. Columns named like an added
-    one are replaced."""
+    that name: whether the text has letters, with or without a model. Repeated rows each get their
+    own row, empty tables give none. Columns named like an added one are replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def work(data, offsets):
@@ -195,7 +202,7 @@ def identify(
         found = {"lang_pred": names, "score": np.where(many > 0, np.clip(score, 0, 1), 0.0)}
         return found | ({"lettered": many > 0} if lettered else {})
 
-    return tx.map_texts(docs, docs.columns if keep is None else keep, _LETTERED if lettered else _ADDED, work, text)
+    return tx.map_texts(docs, docs.columns if keep is None else keep, _LETTERED if lettered else _ADDED, work, text, SLICE_BYTES)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):

@@ -43,12 +43,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-@lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(size, _BASE, dtype=np.uint64)
-    down = np.full(size, _BASE_INVERSE, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_STEP = 1 << 12  # bytes over which powers restart
+
+
+@lru_cache(maxsize=1)
+def _near() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse within a step."""
+    return _far(_BASE, _STEP), _far(_BASE_INVERSE, _STEP)
+
+
+def _far(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def _down(at: np.ndarray) -> np.ndarray:
+    """Inverse powers at any positions, from two short tables."""
+    steps = _far(pow(_BASE_INVERSE, _STEP, 1 << 64), int(at.max(initial=0)) // _STEP + 1)
+    return _near()[1][at % _STEP] * steps[at // _STEP]
 
 
 @dataclass
@@ -73,10 +86,11 @@ class Words:
         return np.repeat(self.first[1:], self.counts) - np.arange(len(self.hash))
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Words:
-    """Lower-case A-Z and cut into words at ``separators``; ``offsets`` are document borders."""
+def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lower: bool = True) -> Words:
+    """Lower-case A-Z (unless told not to) and cut into words at ``separators``; ``offsets`` are
+    document borders."""
     size = len(data)
-    low = LOWER[data]
+    low = LOWER[data] if lower else data
     inside = np.zeros(size + 1, dtype=bool)
     np.logical_not(separators[low], out=inside[:size])
     border = np.zeros(size + 1, dtype=bool)
@@ -85,16 +99,41 @@ def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -
     before[1:] = inside[:-1]
     start = np.flatnonzero(inside & (border | ~before))
     end = np.flatnonzero(before & (border | ~inside))
-    return Words(low, start, end, range_hash(low, start, end), np.searchsorted(start, offsets))
+    return Words(low, start, end, word_hash(low, start, end), np.searchsorted(start, offsets))
 
 
 def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range of ``data``."""
-    size = len(data)
-    up, down = _powers(1 << max(10, (size + 1).bit_length()))
-    prefix = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[data] * up[:size], out=prefix[1:])
-    return mix((prefix[end] - prefix[start]) * down[start])
+    """64-bit hash of each byte range of ``data``, in any order."""
+    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
+    for at, sums in _running(data):
+        prefix[at + 1 : at + 1 + len(sums)] = sums
+    return mix((prefix[end] - prefix[start]) * _down(start))
+
+
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``range_hash`` of ranges that follow each other, with memory for the ranges only."""
+    out = np.zeros(len(start), dtype=np.uint64)
+    for at, sums in _running(data):
+        # The sum up to a range's border is that of the byte before it.
+        for edge, add in ((end, np.add), (start, np.subtract)):
+            a, b = np.searchsorted(edge, [at + 1, at + 1 + len(sums)])
+            add(out[a:b], sums[edge[a:b] - at - 1], out=out[a:b])
+    return mix(out * _down(start))
+
+
+def _running(data: np.ndarray, block: int = 64 * _STEP):
+    """(position, running sums of the coded bytes from there on) of each block of ``data``."""
+    step = pow(_BASE, _STEP, 1 << 64)
+    total, scale = np.uint64(0), 1
+    for at in range(0, len(data), block):
+        codes = _BYTE_CODES[data[at : at + block]]
+        for k in range(0, len(codes), _STEP):
+            codes[k : k + _STEP] *= _near()[0][: len(codes) - k] * np.uint64(scale)
+            scale = scale * step % (1 << 64)
+        np.cumsum(codes, out=codes)
+        codes += total
+        total = codes[-1]
+        yield at, codes
 
 
 def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
@@ -177,8 +216,29 @@ def map_texts(
     return source.mapInArrow(run, schema)
 
 
-def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def code_points(data: np.ndarray, offsets: np.ndarray, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes as code points, and the document borders counted in them."""
+    out, counts, at = [np.zeros(0, np.uint32)], [0], 0
+    ends = []
+    while at < len(data):
+        to = min(len(data), at + block)
+        while to < len(data) and data[to] & 0xC0 == 0x80:
+            to += 1
+        out.append(_decoded(data[at:to]))
+        counts.append(counts[-1] + len(out[-1]))
+        ends.append(to)
+        at = to
+    borders = np.zeros(len(offsets), dtype=np.int64)
+    at = 0
+    for k, to in enumerate(ends):
+        inner = (offsets > at) & (offsets <= to)
+        before = np.concatenate([[0], np.cumsum((data[at:to] & 0xC0) != 0x80, dtype=np.int64)])
+        borders[inner] = counts[k] + before[offsets[inner] - at]
+        at = to
+    return np.concatenate(out), borders
+
+
+def _decoded(data: np.ndarray) -> np.ndarray:
     lead = np.flatnonzero((data & 0xC0) != 0x80)
     first = data[lead].astype(np.uint32)
     out = first.copy()
@@ -188,4 +248,4 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         out[many] = first[many] & mask
         for j in range(1, k + 1):
             out[many] = (out[many] << 6) | (data[np.minimum(lead[many] + j, last)] & 0x3F)
-    return out, np.searchsorted(lead, offsets)
+    return out
