@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, sentencepiece
+from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, ranked, sentencepiece, turns
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.quotes import link_quotes
@@ -244,3 +244,108 @@ FROM messages m LEFT JOIN own o ON m.id = o.id JOIN quoted q ON m.id = q.id
 LEFT JOIN links l ON m.conv_id = l.conv_id AND m.turn = l.turn
 LEFT JOIN roots r ON m.conv_id = r.conv_id AND m.turn = r.turn
 """
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of each damaged conversation."""
+    return turns.repair_digests(turns.damaged(_table(spark, folder, "conversations")), here="here")
+
+
+def _repair_sql() -> str:
+    """One recursive step per row; a state is (cost, audit, lines), so the least one is wanted."""
+
+    def to(x: str, cost: str, letter: str, line: str) -> str:
+        return f"{{'c': {x}.c + {cost}, 'l': {x}.l || '{letter}', 't': {x}.t || {line}}}"
+
+    def drop(x: str) -> str:
+        return to(x, "4", "D", "''")
+
+    def stay(x: str, role: str) -> str:
+        """Kept where the initial is the role's, else out of reach."""
+        return to(x, f"CASE WHEN ok AND i = '{role}' THEN more ELSE 1000000000 END", "K", "o.role || ':' || o.text || chr(10)")
+
+    def become(x: str, name: str) -> str:
+        return to(x, "CASE WHEN ok THEN 3 + more ELSE 1000000000 END", "R", f"'{name}:' || o.text || chr(10)")
+
+    def put(x: str, name: str) -> str:
+        return to(x, "3", "I", f"'{name}:' || chr(10)")
+
+    asked = ", ".join(f(x, y) for x in ("z", "s", "a") for f, y in ((stay, "u"), (become, "user")))
+    empty, never = "{'c': 0::BIGINT, 'l': '', 't': ''}", "{'c': 1000000000::BIGINT, 'l': '', 't': ''}"
+    return rf"""
+WITH RECURSIVE
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(
+      list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT),
+      lambda c, b: list_reduce([0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda d, z: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+      4294967295::BIGINT)) % 20 AS f
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE f <> 0),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, left(role, 1) AS i FROM d),
+o AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS pair FROM n),
+rows AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS ok, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM o),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count_if(fault = 'blank')::BIGINT AS blank, count_if(fault = 'duplicate')::BIGINT AS duplicate,
+    count_if(fault = 'truncated')::BIGINT AS truncated, count_if(pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+  FROM rows GROUP BY conv_id),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS pos, {empty} AS z, {never} AS s, {put(f"({empty})", "user")} AS u,
+    {put(f"({put(f'({empty})', 'user')})", "assistant")} AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, pos, z, s, u, list_min([a, {put("u", "assistant")}]) AS a
+  FROM (
+    SELECT conv_id, pos, z, s, a, list_min([u, {put("z", "user")}, {put("s", "user")}, {put("a", "user")}]) AS u
+    FROM (
+      SELECT w.conv_id, o.pos, {drop("z")} AS z, list_min([{drop("s")}, {stay("z", "s")}]) AS s,
+        list_min([{drop("u")}, {asked}]) AS u, list_min([{drop("a")}, {stay("u", "a")}, {become("u", "assistant")}]) AS a
+      FROM walk w JOIN rows o ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND o.pos = w.pos + 1))),
+done AS (SELECT conv_id, list_min([arg_max(z, pos), arg_max(a, pos)]) AS best FROM walk GROUP BY conv_id)
+SELECT done.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.l AS audit,
+  sha256(left(best.t, length(best.t) - 1)) AS repaired_sha256
+FROM done LEFT JOIN counted ON done.conv_id IS NOT DISTINCT FROM counted.conv_id
+"""
+
+
+ORACLES["op11_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten best documents for each benchmark item."""
+    return ranked.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+whole AS (SELECT count(*) AS docs, sum(len(w)) AS words FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, whole GROUP BY term, docs),
+long AS (SELECT r, doc_id, 100 - 75 + (75 * len(w) * docs) // words AS m FROM d, whole WHERE len(w) > 0),
+asked AS (
+  SELECT i, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+scored AS (
+  SELECT i, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN long USING (r) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r)::INT AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
