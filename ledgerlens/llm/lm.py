@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import text as tx
+from ledgerlens.llm.packed import pack as _pack
+from ledgerlens.llm.packed import rows as _rows
+from ledgerlens.llm.packed import unpack as _unpack
 from ledgerlens.session import new_folder
 
 CHUNK_BYTES = 8_000_000
@@ -33,20 +36,6 @@ _BITS = 4  # histogram steps per factor of two
 _KEEP, _CUT, _HELD = 0, 1, 2
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers by byte planes, compressed: four planes, or eight if one is 2^32 or more."""
-    wide = 8 if len(values) and int(values.max()) >= 1 << 32 else 4
-    planes = np.ascontiguousarray(values.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide).T)
-    head = len(values).to_bytes(7, "little") + bytes([wide])
-    return head + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    size, wide = int.from_bytes(raw[:7], "little"), raw[7]
-    planes = pa.Codec("zstd").decompress(raw[8:], decompressed_size=wide * size, asbytes=True) if size else b""
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide, size).T).view(f"<u{wide}").ravel()
-
-
 def _saved(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
@@ -162,12 +151,6 @@ def _pair_codes(row: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (high[left] << np.uint64(32)) | high[right]
 
 
-def _rows(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-
-
 _ASKED = "shard int, chunk long, cut boolean, keys binary, counts binary"
 _ANSWERED = "chunk long, shard int, kept binary, whole binary, kept_total long, whole_total long, n_distinct long"
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, ranked, sentencepiece, turns
+from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, ranked, repeats, sentencepiece, turns
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.quotes import link_quotes
@@ -349,3 +349,29 @@ SELECT item_id, rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r)::INT AS rank FROM scored WHERE score > 0)
 WHERE rank <= 10
 """
+
+
+@query
+def op12_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller id has."""
+    found = repeats.remove_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_repeated_passages"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, (len(w) - 11)::BIGINT)) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) > 12)),
+earliest AS (SELECT phrase, min(doc_id) AS first FROM windows GROUP BY phrase),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS i FROM windows JOIN earliest USING (phrase) WHERE first < doc_id),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM (
+    SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d WHERE len(w) > 0) ANTI JOIN gone USING (r, i)
+  GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN kept USING (r)
+"""

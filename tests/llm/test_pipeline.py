@@ -37,7 +37,7 @@ def test_query_covers_its_table(spark, small, name):
 
 def test_entry_has_one_query_per_operator():
     names = entry_points.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names
 
