@@ -2,35 +2,32 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import decision
-from ledgerlens.operators import metrics
+from ledgerlens.operators import boosting, metrics
+from ledgerlens.operators.boosting import Growth
 from ledgerlens.operators.features import Encoding, assembler, one_hot_stages
 from ledgerlens.operators.running import hash_ranks
 from ledgerlens.operators.sampling import fixed_n_sample
-from ledgerlens.session import materialise, shared_root
+from ledgerlens.session import materialise
 
 SEED = 42
 
-# Hyper-parameters of each model. The three boosted-tree sets stand for learners
-# that grow trees by leaf count; the depth gives a tree of about as many leaves.
+# Hyper-parameters of each model.
 LOGISTIC = {"maxIter": 300, "standardization": False}
 TREE = {"maxDepth": 12, "minInstancesPerNode": 50, "maxBins": 64, "seed": SEED}
 FOREST = {
@@ -38,17 +35,15 @@ FOREST = {
     "featureSubsetStrategy": "sqrt", "seed": SEED, "maxMemoryInMB": 1024, "cacheNodeIds": True,
 }
 BOOSTED = {
-    "hist_gradient_boosting": {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5},
-    "lightgbm": {
-        "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-    },
-    "xgboost": {
-        "maxIter": 300, "stepSize": 0.1, "maxDepth": 8, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-    },
+    "hist_gradient_boosting": Growth(maxIter=200, stepSize=0.1, leaves=31, min_rows=20, min_hessian=1e-3, seed=SEED),
+    "lightgbm": Growth(
+        maxIter=300, stepSize=0.05, leaves=63, min_rows=20, min_hessian=1e-3, row_share=0.8, feature_share=0.8, seed=SEED
+    ),
+    "xgboost": Growth(
+        maxIter=300, stepSize=0.1, leaves=256, depth=8, min_hessian=1.0, l2=1.0, row_share=0.8, feature_share=0.8, seed=SEED
+    ),
 }
-ADABOOST = {"rounds": 100, "maxDepth": 3}
+ADABOOST = Growth(maxIter=100, leaves=8, depth=3, seed=SEED)
 MODELS = [
     "regressao_logistica", "arvore_decisao", "random_forest", *BOOSTED, "adaboost",
 ]
@@ -84,76 +79,23 @@ def fit_forest(train: DataFrame, encoding: Encoding, target: str, **params) -> P
 def fit_boosted(
     train: DataFrame, encoding: Encoding, target: str, kind: str = "lightgbm", **params
 ) -> PipelineModel:
-    shared_root(train.sparkSession)
-    estimator = GBTClassifier(
-        **_columns(target), maxBins=64, seed=SEED, checkpointInterval=10, **(BOOSTED[kind] | params)
-    )
-    return _fit_vector(train, [assembler(encoding)], estimator)
-
-
-def fit_adaboost(
-    train: DataFrame,
-    encoding: Encoding,
-    target: str,
-    rounds: int = ADABOOST["rounds"],
-    maxDepth: int = ADABOOST["maxDepth"],
-    checkpoint_every: int = 10,
-) -> PipelineModel:
-    """Discrete boosting of shallow trees: after each round the rows it got wrong gain weight.
-
-    The reweighting is one projection on the scored frame, kept in memory or on disk until the next
-    round has read it; every ``checkpoint_every`` rounds the frame is checkpointed so its plan stays
-    short and a lost executor repeats few rounds. The fitted model is the trees followed by one
-    projection that sums their votes."""
-    stage = assembler(encoding)
-    frame = stage.transform(train).select(target, "features", F.lit(1.0).alias("peso"))
-    frame = materialise(frame)
-    trees, votes = [], []
-    for r in range(rounds):
-        said = f"_arvore_{r}"
-        estimator = DecisionTreeClassifier(
-            **_columns(target), weightCol="peso", maxDepth=maxDepth, maxBins=64, seed=SEED + r,
-            predictionCol=said, probabilityCol="", rawPredictionCol="",
-        )
-        tree = estimator.fit(frame)
-        scored = tree.transform(frame)
-        wrong = F.col(said) != F.col(target)
-        sums = scored.agg(
-            F.sum("peso").alias("all"), F.sum(F.when(wrong, F.col("peso")).otherwise(0.0)).alias("bad")
-        ).first()
-        error = sums["bad"] / sums["all"]
-        if error <= 0:
-            trees.append(tree)
-            votes.append(1.0)
-            break
-        if error >= 0.5:
-            if not trees:
-                raise ValueError("the first tree is no better than chance")
-            break
-        vote = math.log((1 - error) / error)
-        trees.append(tree)
-        votes.append(vote)
-        # Weights are kept at mean 1 so they neither vanish nor overflow.
-        growth = F.when(wrong, F.col("peso") * math.exp(vote)).otherwise(F.col("peso"))
-        total = sums["all"] - sums["bad"] + sums["bad"] * math.exp(vote)
-        before, frame = frame, scored.select(
-            target, "features", (growth * (sums["all"] / total)).alias("peso")
-        )
-        if (r + 1) % checkpoint_every == 0:
-            frame = materialise(frame)
-        else:
-            frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-            frame.count()
-        before.unpersist()
-    frame.unpersist()
-
-    names = [tree.getPredictionCol() for tree in trees]
-    ballots = " + ".join(f"{v!r}D * (2 * {name} - 1)" for name, v in zip(names, votes))
-    tally = SQLTransformer(
-        statement=f"SELECT * EXCEPT (_p, {', '.join(names)}), array(1 - _p, _p) AS probability FROM"
-        f" (SELECT *, 1 / (1 + exp(-({ballots}) / {sum(votes)!r}D)) AS _p FROM __THIS__)"
-    )
-    return PipelineModel(stages=[stage, *trees, tally])
+    """Gradient boosting of leaf-wise trees on the logistic loss; ``params`` are fields of Growth."""
+    growth = replace(BOOSTED[kind], **params)
+    base, trees, edges = boosting.fit_gradient(train, encoding.columns, target, growth)
+    weights, size = [1.0] * len(trees), len(encoding.columns)
+    # Spark's probability is the logistic function of twice the sum.
+    model = boosting.spark_model(train.sparkSession, trees, weights, edges, 0.5, size, target, base)
+    return PipelineModel(stages=[assembler(encoding), model])
+
+
+def fit_adaboost(train: DataFrame, encoding: Encoding, target: str, **params) -> PipelineModel:
+    """Discrete boosting of shallow trees: after each round the rows it got wrong gain weight. The
+    probability is the logistic function of the mean vote, weighted by the trees' votes."""
+    growth = replace(ADABOOST, **params)
+    votes, trees, edges = boosting.fit_votes(train, encoding.columns, target, growth)
+    weights, size = [v / (2 * sum(votes)) for v in votes], len(encoding.columns)
+    model = boosting.spark_model(train.sparkSession, trees, weights, edges, 1.0, size, target)
+    return PipelineModel(stages=[assembler(encoding), model])
 
 
 def fit_model(name: str, train: DataFrame, encoding: Encoding, target: str = "is_fraud", **params):

@@ -651,7 +651,17 @@ def model_forest(spark, sf):
 
 @query
 def model_gbt(spark, sf):
-    return _trained(spark, sf, list(models.BOOSTED))
+    return _trained(spark, sf, ["lightgbm"])
+
+
+@query
+def model_gbt_depth(spark, sf):
+    return _trained(spark, sf, ["xgboost"])
+
+
+@query
+def model_gbt_hist(spark, sf):
+    return _trained(spark, sf, ["hist_gradient_boosting"])
 
 
 @query
@@ -661,10 +671,9 @@ def model_adaboost(spark, sf):
 
 @query
 def compare_models(spark, sf):
-    """The comparison job over three learners: ranked, logged, explained, winner saved."""
+    """The comparison job over all learners: ranked, logged, explained, winner saved."""
     train, test = modelling(spark, sf)
-    names = ["regressao_logistica", "arvore_decisao", "random_forest"]
-    cfg = compare.CompareConfig(new_folder(spark, "comparacao"), names)
+    cfg = compare.CompareConfig(new_folder(spark, "comparacao"))
     ranked = materialise(compare.compare_models(spark, train, test, cfg))
     runs = spark.read.parquet(cfg.path("execucoes")).select(F.col("params")["modelo"].alias("modelo")).distinct()
     saved = spark.read.csv(cfg.path("metricas"), header=True, inferSchema=True)
@@ -717,8 +726,8 @@ def score_agreement(spark, sf):
 
 @query
 def permutation_importance(spark, sf):
-    encoding, model, test = _tree(spark, sf)
     """Each variable has one importance, a drop of an area; shuffling the best one costs some."""
+    encoding, model, test = _tree(spark, sf)
     drops = materialise(models.permutation_importance(test, model, encoding))
     best = drops.agg(F.max("importancia").alias("maior"))
     return drops.join(best).select(

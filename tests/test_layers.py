@@ -211,7 +211,7 @@ def test_failing_model_does_not_stop_the_others(trained):
 
 def test_boosted_models_save_and_load(spark, trained, folder):
     encoding, balanced, test = trained
-    for name, params in (("adaboost", {"rounds": 3}), ("xgboost", {"maxIter": 2})):
+    for name, params in (("adaboost", {"maxIter": 3}), ("xgboost", {"maxIter": 2})):
         full = models.with_encoder(encoding, models.fit_model(name, balanced, encoding, **params))
         full.write().save(f"{folder}/{name}")
         row = models.score_agreement(test, full, PipelineModel.load(f"{folder}/{name}")).first()

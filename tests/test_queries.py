@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 import __spark_entry__ as entry_points
@@ -21,17 +19,12 @@ def test_every_statement_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-# Hundreds of boosting rounds each; ``LEDGERLENS_ALL=1`` runs them too. Their learners and the job
-# are tested with few rounds in test_layers.
-LONG = {"model_gbt", "model_adaboost", "retrain_summary"}
 # The training-data queries have tests of their own.
 OWN = {q for q in ORACLES if q == "pipeline" or q.startswith("op") and q[2:3].isdigit()}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLES) - OWN))
 def test_matches_sql(spark, con, small, name):
-    if name in LONG and not os.environ.get("LEDGERLENS_ALL"):
-        pytest.skip("long")
     assert difference(QUERIES[name](spark, small), con, ORACLES[name]) == ""
 
 
