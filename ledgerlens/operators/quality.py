@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.running import rank_quantiles, running_totals
@@ -169,3 +169,34 @@ def reconcile_layers(
             <= tolerance * F.col("legitimas_bronze")
         ).alias("legitimas_ok"),
     )
+
+
+class Watched:
+    """Audit of a table that its write takes along: rows, nulls per column, time range, classes.
+
+    The counts belong to the stage that writes, whose tasks count once however often they are tried,
+    so put it on last."""
+
+    def __init__(self, name: str, columns: Sequence[str], event_time: str = "event_time", target: str = "is_fraud"):
+        self.name, self.columns, self.event_time, self.target = name, list(columns), event_time, target
+        self.seen = Observation(name)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.observe(
+            self.seen,
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col(self.target) == 1).alias("fraudes"),
+            F.count_if(F.col(self.target) == 0).alias("legitimas"),
+            F.min(self.event_time).alias("inicio"),
+            F.max(self.event_time).alias("fim"),
+            *[F.count_if(F.col(c).isNull()).alias(f"nulos {c}") for c in self.columns],
+        )
+
+    def row(self) -> tuple:
+        """(tabela, n, fraudes, legitimas, inicio, fim, nulos) once the table is written."""
+        got = self.seen.get
+        plain = tuple(got[k] for k in ("n", "fraudes", "legitimas", "inicio", "fim"))
+        return self.name, *plain, {c: got[f"nulos {c}"] for c in self.columns}
+
+
+AUDIT = "tabela string, n long, fraudes long, legitimas long, inicio timestamp, fim timestamp, nulos map<string,long>"

@@ -96,8 +96,10 @@ def build_bronze(spark: SparkSession, cfg: EtlConfig) -> None:
 
 
 def run_etl(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
-    """Write every layer and return size and fraud count per table. Each layer is read back
-    from its table, so a lost executor repeats one layer at most."""
+    """Write every layer and return its audit: rows, frauds, legitimate rows, time range and nulls per
+    column, counted by the writes themselves, without a further scan. Each layer is read back from
+    its table, so a lost executor repeats one layer at most. The gold tables are published: readers
+    keep the version before until the new one is whole."""
     require_utc(spark)
     if cfg.rebuild_bronze:
         build_bronze(spark, cfg)
@@ -106,20 +108,24 @@ def run_etl(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
     if cfg.deduplicate:
         silver = quality.dedup_latest(silver)
     path = cfg.path("silver/transactions")
-    tables.overwrite_by_month(silver, path)
+    audits = [quality.Watched("silver", schemas.SILVER.names)]
+    tables.overwrite_by_month(silver, path, watch=audits[0])
 
     saved = tables.read_by_month(spark, path)
     cutoff = sampling.time_cutoff(
         saved, cfg.cutoff_percentile, relative_error=cfg.cutoff_error
     )
     halves = {
-        "gold/train": (tables.read_by_month(spark, path, before=cutoff), cfg.train_fraction),
-        "gold/test": (tables.read_by_month(spark, path, since=cutoff), cfg.test_fraction),
+        "train": (tables.read_by_month(spark, path, before=cutoff), cfg.train_fraction),
+        "test": (tables.read_by_month(spark, path, since=cutoff), cfg.test_fraction),
     }
     for name, (rows, fraction) in halves.items():
         kept = sampling.stratified_sample(rows, fraction)
-        tables.overwrite(sampling.sample_weights(kept, fraction), cfg.path(name))
-    layers = {"silver": saved}
-    for name in halves:
-        layers[name.split("/")[1]] = spark.read.schema(schemas.GOLD).parquet(cfg.path(name))
-    return quality.fraud_count_by_table(layers)
+        audits.append(quality.Watched(name, schemas.GOLD.names))
+        tables.publish(audits[-1](sampling.sample_weights(kept, fraction)), cfg.path(f"gold/{name}"))
+    return spark.createDataFrame([a.row() for a in audits], quality.AUDIT)
+
+
+def read_gold(spark: SparkSession, cfg: EtlConfig, name: str) -> DataFrame:
+    """The published ``train`` or ``test`` table."""
+    return tables.read_published(spark, cfg.path(f"gold/{name}"), schemas.GOLD)

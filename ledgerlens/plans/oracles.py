@@ -5,7 +5,7 @@ written independently of the Spark code."""
 
 from __future__ import annotations
 
-from ledgerlens.schemas import CATEGORICAL, NUMERIC, SILVER, TRANSACTIONS
+from ledgerlens.schemas import CATEGORICAL, GOLD, NUMERIC, SILVER, TRANSACTIONS
 from ledgerlens.sources.fixture import CUSTOMER_COLUMNS, TABLES, TRANSACTION_COLUMNS
 
 _TX_FIELDS = ", ".join(f'{sql} AS "{name}"' for name, sql in TRANSACTION_COLUMNS.items())
@@ -442,6 +442,37 @@ ORACLES: dict[str, str] = {
     "promote_if_better": _points(f""", {_ROUNDS} SELECT round(b, 9) AS pr_auc_desafiante,
         round(a, 9) AS pr_auc_atual, b > a + 0.002e0 AS promovido FROM r"""),
     "stream_silver": _FULL_SILVER,
+    "stream_dedup": f"""WITH {TX}, timed AS (SELECT *, try_cast(concat(trans_date, ' ', trans_time) AS TIMESTAMP) AS event_time
+        FROM (SELECT DISTINCT {_TX_LIST} FROM tx)), {SILVER_CTE[SILVER_CTE.index("silver AS ("):]} SELECT * FROM silver""",
+    "stream_monthly": f"""WITH {TX},
+        timed AS (SELECT *, try_cast(concat(trans_date, ' ', trans_time) AS TIMESTAMP) AS event_time, row_id % 20 = 0 AS late FROM tx),
+        edge AS (SELECT max(event_time) - INTERVAL 31 DAY AS edge FROM timed WHERE NOT late)
+        SELECT CAST(date_trunc('month', event_time) AS TIMESTAMP) AS mes, count(*) AS n, CAST(sum(is_fraud) AS BIGINT) AS fraudes,
+          round(avg(is_fraud), 9) AS taxa, count(*) FILTER (late AND event_time < edge) AS atrasadas
+        FROM timed, edge GROUP BY 1""",
+    "sketch_cutoff": _silver("SELECT count(*) AS linhas, true AS dentro_do_erro FROM silver"),
+    "sketch_distinct": _silver("""SELECT count(DISTINCT trans_num) AS ids_distintos, count(*) AS linhas,
+        true AS linhas_iguais, true AS dentro_do_limite FROM silver"""),
+    "sketch_returning": _silver("""SELECT event_month, count(*) FILTER (event_month < ultimo) AS ids, true AS dentro_do_limite
+        FROM (SELECT DISTINCT trans_num, strftime(event_time, '%Y-%m') AS event_month FROM silver)
+        JOIN (SELECT trans_num, strftime(max(event_time), '%Y-%m') AS ultimo FROM silver GROUP BY 1) USING (trans_num)
+        GROUP BY 1"""),
+    "ingest_rejected": f"""WITH {TX}, ended AS (SELECT amt, concat_ws(',', CASE WHEN row_id % 70 = 5 THEN 'unix_time' END,
+          CASE WHEN row_id % 50 = 3 THEN 'amt' END) AS bad FROM tx)
+        SELECT CASE WHEN bad = '' THEN 'aceita' ELSE bad END AS fim, count(*) AS n,
+          round(sum(CASE WHEN bad = '' THEN amt END), 2) AS valor FROM ended GROUP BY 1""",
+    "etl_audit": f"""WITH {SILVER_CTE}, {CUT}, {_gold('train', 0.02)}, {_gold('test', 0.05)}, """
+    + ", ".join(
+        f"""a_{t} AS (SELECT '{t}' AS tabela, count(*) AS n, count(*) FILTER (is_fraud = 1) AS fraudes,
+          count(*) FILTER (is_fraud = 0) AS legitimas, min(event_time) AS inicio, max(event_time) AS fim FROM {t})"""
+        for t in ("silver", "train", "test")
+    )
+    + " "
+    + " UNION ALL ".join(
+        f"""SELECT a_{t}.*, '{c}' AS coluna, (SELECT count(*) FROM {t} WHERE "{c}" IS NULL) AS nulos FROM a_{t}"""
+        for t, names in (("silver", SILVER.names), ("train", GOLD.names), ("test", GOLD.names))
+        for c in names
+    ),
     "etl_silver": _FULL_SILVER,
     "etl_gold": f"""WITH {SILVER_CTE}, {CUT}, {_gold('train', 0.02)}, {_gold('test', 0.05)}
         SELECT 'train' AS parte, * FROM train UNION ALL SELECT 'test' AS parte, * FROM test""",

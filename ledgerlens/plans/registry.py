@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.functions import columns as C
 from ledgerlens.operators import (
-    balance, features, metrics, models, quality, rates, sampling, stats,
+    balance, features, metrics, models, quality, rates, sampling, sketches, stats,
 )
 from ledgerlens.plans import compare, etl, retrain
 from ledgerlens.session import materialise, new_folder
@@ -119,6 +119,24 @@ def ingest_customers_csv(spark, sf):
     return landing.read_customers(spark, folder)
 
 
+@query
+def ingest_rejected(spark, sf):
+    """Landing files with planted bad cells: rows by what became of them, with the columns at fault."""
+    folder = new_folder(spark, "landing")
+    rows = fixture.transactions(spark, sf)
+    bad = {"amt": (F.col("row_id") % 50 == 3, "n/a"), "unix_time": (F.col("row_id") % 70 == 5, "12:30")}
+    planted = rows.select(*[
+        F.when(bad[c][0], bad[c][1]).otherwise(F.col(c).cast("string")).alias(c) if c in bad else c for c in rows.columns
+    ])
+    planted.write.csv(folder, header=True)
+    accepted, rejected = landing.read_checked(spark, folder)
+    columns = F.array_join(F.transform("motivo", lambda m: F.substring_index(m, ":", 1)), ",")
+    ended = rejected.select(columns.alias("fim"), F.lit(None).cast("double").alias("amt"))
+    return accepted.select(F.lit("aceita").alias("fim"), "amt").unionByName(ended).groupBy("fim").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("amt"), 2).alias("valor")
+    )
+
+
 @query
 def infer_schema_profile(spark, sf):
     folder = new_folder(spark, "landing")
@@ -872,11 +890,95 @@ def stream_score(spark, sf):
     return _checked(answers, schemas.FEATURES)
 
 
+@query
+def stream_dedup(spark, sf):
+    """Files of which every fifth row is delivered again in later micro-batches and a later run: the
+    table has each row once."""
+    root = new_folder(spark, "stream")
+    rows = fixture.transactions(spark, sf)
+    saved = f"{root}/rows"
+    tables.overwrite(rows, saved)
+    rows = spark.read.schema(schemas.TRANSACTIONS).parquet(saved)
+    again = rows.where("row_id % 5 = 0")
+    for run in ([rows.where("row_id % 2 = 0"), again], [rows.where("row_id % 2 = 1"), again]):
+        for part in run:
+            part.write.mode("append").csv(f"{root}/landing", header=True)
+        found = ingest.ingest_first(
+            spark, f"{root}/landing", f"{root}/silver", f"{root}/checkpoint", schemas.TRANSACTIONS.names, max_files=6
+        )
+    return found
+
+
+@query
+def stream_monthly(spark, sf):
+    """Monthly rates of files that arrive by year, then one with rows of all years that come late."""
+    root = new_folder(spark, "stream")
+    saved = f"{root}/rows"
+    tables.overwrite(fixture.transactions(spark, sf), saved)
+    rows = spark.read.schema(schemas.TRANSACTIONS).parquet(saved)
+    years = rows.agg(F.min("trans_date").alias("a"), F.max("trans_date").alias("b")).first()
+    late = F.col("row_id") % 20 == 0
+    for year in range(int(years["a"][:4]), int(years["b"][:4]) + 1):
+        mine = rows.where(~late & F.col("trans_date").startswith(str(year)))
+        mine.coalesce(1).write.mode("append").csv(f"{root}/landing", header=True)
+    rows.where(late).coalesce(1).write.mode("append").csv(f"{root}/landing", header=True)
+    return rounded(
+        ingest.monthly_available(spark, f"{root}/landing", f"{root}/sums", f"{root}/checkpoint", max_files=1), 9, "taxa"
+    )
+
+
+# Stored sketches
+
+
+def _sketches(spark, sf) -> DataFrame:
+    root = new_folder(spark, "sketches")
+    tables.overwrite_by_month(silver(spark, sf), f"{root}/silver")
+    sketches.store_months(spark, f"{root}/silver", f"{root}/store")
+    return sketches.read_store(spark, f"{root}/store")
+
+
+@query
+def sketch_cutoff(spark, sf):
+    """The cutoff of the merged monthly sketches against its exact rank."""
+    cut = sketches.merged_cutoff(_sketches(spark, sf)).first()["corte"]
+    rank = F.count_if(F.unix_seconds("event_time") <= cut) / F.count(F.lit(1))
+    return silver(spark, sf, "event_time").agg(
+        F.count(F.lit(1)).alias("linhas"), (F.abs(rank - 0.8) <= sketches.RANK_ERROR).alias("dentro_do_erro")
+    )
+
+
+@query
+def sketch_distinct(spark, sf):
+    """Distinct ids of the merged monthly sketches beside the exact count."""
+    estimate = sketches.merged_distinct(_sketches(spark, sf))
+    exact = quality.distinct_ids(silver(spark, sf, "trans_num"))
+    gap = F.abs(F.col("ids_estimados") - F.col("ids_distintos"))
+    return estimate.withColumnRenamed("linhas", "linhas_somadas").join(exact).select(
+        "ids_distintos", "linhas", (F.col("linhas_somadas") == F.col("linhas")).alias("linhas_iguais"),
+        (gap <= sketches.DISTINCT_ERROR * F.col("ids_distintos")).alias("dentro_do_limite"),
+    )
+
+
+@query
+def sketch_returning(spark, sf):
+    """Ids of each month that return in a later one: the exact number, and whether the intersection of
+    the sketches is within four standard errors of it."""
+    found = sketches.returning_ids(_sketches(spark, sf))
+    month = F.date_format("event_time", "yyyy-MM").alias("event_month")
+    seen = silver(spark, sf, "trans_num", "event_time").select("trans_num", month).distinct()
+    last = seen.groupBy("trans_num").agg(F.max("event_month").alias("ultimo"))
+    exact = seen.join(last, "trans_num").groupBy("event_month").agg(
+        F.count_if(F.col("event_month") < F.col("ultimo")).alias("ids")
+    )
+    near = F.abs(F.col("voltam") - F.col("ids")) <= 4 * F.greatest(F.col("erro_padrao"), F.sqrt("ids")) + 1
+    return exact.join(found, "event_month").select("event_month", "ids", near.alias("dentro_do_limite"))
+
+
 # Whole jobs
 
 
 def _run_etl(spark, sf):
-    """The full job from landing files, with the exact cutoff."""
+    """Settings of a full job from landing files with the exact cutoff, and the audit it returned."""
     root = new_folder(spark, "etl")
     fixture.transactions(spark, sf).write.csv(f"{root}/landing/transactions", header=True)
     fixture.customers(spark, sf).write.csv(f"{root}/landing/customers", header=True, sep="|")
@@ -884,24 +986,21 @@ def _run_etl(spark, sf):
         root, f"{root}/landing/transactions", f"{root}/landing/customers",
         rebuild_bronze=True, cutoff_error=0.0,
     )
-    etl.run_etl(spark, cfg)
-    return cfg
+    return cfg, etl.run_etl(spark, cfg)
 
 
 @query
 def etl_silver(spark, sf):
-    cfg = _run_etl(spark, sf)
+    cfg, _ = _run_etl(spark, sf)
     saved = tables.read_by_month(spark, cfg.path("silver/transactions"))
     return saved.select(*schemas.SILVER.names)
 
 
 @query
 def etl_gold(spark, sf):
-    cfg = _run_etl(spark, sf)
+    cfg, _ = _run_etl(spark, sf)
     parts = [
-        spark.read.schema(schemas.GOLD).parquet(cfg.path(f"gold/{name}")).select(
-            F.lit(name).alias("parte"), "*"
-        )
+        etl.read_gold(spark, cfg, name).select(F.lit(name).alias("parte"), "*")
         for name in ("train", "test")
     ]
     return parts[0].unionByName(parts[1])
@@ -919,3 +1018,11 @@ def retrain_summary(spark, sf):
         F.col("pr_auc_atual").isNotNull().alias("havia_campeao"),
         F.col("pr_auc_desafiante").between(0, 1).alias("area_valida"),
     )
+
+
+@query
+def etl_audit(spark, sf):
+    """What the writes of the full job counted: one row per table and null count."""
+    _, audit = _run_etl(spark, sf)
+    cells = audit.select("*", F.explode("nulos").alias("coluna", "n_nulos"))
+    return cells.drop("nulos").withColumnRenamed("n_nulos", "nulos")

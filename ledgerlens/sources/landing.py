@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import schemas
+from ledgerlens.session import materialise
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -13,6 +15,39 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, schema=schemas.TRANSACTIONS, header=True, enforceSchema=True)
 
 
+_BROKEN = "_linha"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType = schemas.TRANSACTIONS, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of a CSV with header. Rejected ones have their raw ``linha`` and a
+    ``motivo`` per fault: ``coluna: valor`` for a cell that is not of its type, or the number of cells
+    where that is wrong. Every row is in exactly one of the two. The files are parsed once, whole, into
+    a checkpoint: a reader that is asked for some columns would not look at the others."""
+    typed = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    rows = materialise(
+        spark.read.csv(
+            path, schema=typed, header=True, sep=sep, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN
+        )
+    )
+    text = ", ".join(f"`{f.name}` string" for f in schema)
+    cells = F.from_csv(F.col(_BROKEN), text, {"sep": sep, "mode": "PERMISSIVE"})
+    wrong = [
+        F.when(
+            cells[f.name].isNotNull() & cells[f.name].try_cast(f.dataType).isNull(),
+            F.concat(F.lit(f"{f.name}: "), cells[f.name]),
+        )
+        for f in schema
+        if f.dataType != T.StringType()
+    ]
+    # Text of a type's own form may still be refused by the reader, a lost cell has no form at all.
+    reasons = F.array_compact(F.array(*wrong))
+    count = F.concat(F.lit("celulas: "), F.size(F.split(F.col(_BROKEN), f"[{sep}]")).cast("string"))
+    rejected = rows.where(F.col(_BROKEN).isNotNull()).select(
+        F.col(_BROKEN).alias("linha"), F.when(F.size(reasons) > 0, reasons).otherwise(F.array(count)).alias("motivo")
+    )
+    return rows.where(F.col(_BROKEN).isNull()).drop(_BROKEN), rejected
+
+
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-separated CSV with header."""
     return spark.read.csv(path, schema=schemas.CUSTOMERS, header=True, sep="|", enforceSchema=True)

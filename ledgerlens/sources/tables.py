@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,55 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish(df: DataFrame, path: str) -> str:
+    """Writes a new version of a table beside the old ones and then moves its pointer in one step
+    (a rename). Until then, and after a write that fails, readers have the version before. Old
+    versions stay until ``forget_versions``. Returns the version's folder."""
+    spark = df.sparkSession
+    version = f"versao-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    draft = f"{path}/_ponteiro-{version}"
+    spark.createDataFrame([(version,)], "versao string").coalesce(1).write.text(draft)
+    part = next(f for f in spark.read.text(draft).inputFiles() if "part-" in f)
+    jvm = spark.sparkContext._jvm
+    source, files = _files(spark, part)
+    target, _ = _files(spark, f"{path}/atual")
+    overwrite_it = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite_it[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(source, target, overwrite_it)
+    return f"{path}/{version}"
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """Folder of the version that the pointer names."""
+    return f"{path}/{spark.sparkContext.textFile(f'{path}/atual', 1).first()}"
+
+
+def read_published(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(published(spark, path))
+
+
+def forget_versions(spark: SparkSession, path: str) -> int:
+    """Deletes all versions but the current one; for when no reader holds an older one."""
+    current = published(spark, path).rsplit("/", 1)[1]
+    folder, files = _files(spark, path)
+    found, gone = files.listStatus(folder), 0
+    while found.hasNext():
+        entry = found.next().getPath()
+        name = entry.getName()
+        if name not in (current, "atual") and name.removeprefix("_ponteiro-").startswith("versao-"):
+            gone += name.startswith("versao-")
+            files.delete(entry, True)
+    return gone
+
+
 def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
@@ -22,12 +74,15 @@ def _month(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def overwrite_by_month(df: DataFrame, path: str, event_time: str = "event_time") -> None:
+def overwrite_by_month(
+    df: DataFrame, path: str, event_time: str = "event_time", watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """One folder per month. The rebalance hint splits a month that holds most rows and
-    merges small ones, so files come out evenly sized whatever the distribution."""
+    merges small ones, so files come out evenly sized whatever the distribution. ``watch`` is put
+    on the rows as they are written, after the shuffle."""
+    rows = df.withColumn(MONTH_PARTITION, _month(F.col(event_time))).hint("rebalance", MONTH_PARTITION)
     (
-        df.withColumn(MONTH_PARTITION, _month(F.col(event_time)))
-        .hint("rebalance", MONTH_PARTITION)
+        (watch(rows) if watch else rows)
         .write.mode("overwrite")
         .partitionBy(MONTH_PARTITION)
         .parquet(path)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens.operators.quality import dedup_latest
@@ -35,8 +39,8 @@ def ingest_available(
 
     The checkpoint remembers the files, so a run after a failure goes on where it stopped. Each
     micro-batch has a folder of its own, which a repeated batch overwrites, so no row is written
-    twice. ``deduplicate`` keeps the latest row of each id within a micro-batch; ids that return in
-    a later one are settled by ``dedup_latest`` on the table."""
+    twice. ``deduplicate`` keeps the latest row of each id within a micro-batch; for ids that return
+    in a later one see ``ingest_first``."""
 
     def write(batch: DataFrame, number: int) -> None:
         if bronze:
@@ -55,3 +59,100 @@ def ingest_available(
     )
     query.awaitTermination()
     return tables.read_by_month(spark, output).select(*schemas.SILVER.names)
+
+
+def ingest_first(
+    spark: SparkSession,
+    landing: str,
+    output: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("trans_num",),
+    remembered: str = "30 days",
+    max_files: int | None = None,
+    salt: str | None = None,
+) -> DataFrame:
+    """Like ``ingest_available``, but a row whose ``keys`` have arrived before is dropped, also when
+    that was in an earlier micro-batch or run: the first arrival stays.
+
+    The keys are keyed state of the stream, remembered for that long after their file's arrival. The
+    watermark is on the arrival of files, which are read in that order, so no row comes too late,
+    however old its event. State is bounded by the distinct keys that arrive within the time: about
+    the bytes of the keys and 100 more each, spread over the shuffle partitions. Of rows with equal
+    keys in one micro-batch any one stays; give all columns as keys to drop equal rows only."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        tables.overwrite_by_month(to_silver(batch, salt=salt), f"{output}/lote={number}")
+
+    arriving = arriving_transactions(spark, landing, max_files)
+    stamped = arriving.select("*", F.col("_metadata.file_modification_time").alias("_chegada"))
+    query = (
+        stamped.withWatermark("_chegada", remembered)
+        .dropDuplicatesWithinWatermark(list(keys))
+        .drop("_chegada")
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return tables.read_by_month(spark, output).select(*schemas.SILVER.names)
+
+
+_MONTHS = "mes timestamp, atrasada boolean, n long, fraudes long, ultimo timestamp"
+
+
+def monthly_available(
+    spark: SparkSession,
+    landing: str,
+    output: str,
+    checkpoint: str,
+    delay: str = "31 days",
+    max_files: int | None = None,
+) -> DataFrame:
+    """Fraud rate per month of everything that has arrived: ``mes``, ``n``, ``fraudes``, ``taxa`` and
+    ``atrasadas``, the rows whose event lay more than ``delay`` before the latest event of earlier
+    micro-batches. Late rows count like any other and are reported apart.
+
+    Each micro-batch adds one small file of sums per month, in a folder of its own that a repeated
+    batch overwrites; the report adds them up. A batch reads the latest event of the batches before
+    it from those files, so it gives the same sums when it is repeated after a failure. Rows without
+    event time have a month of null and are never late."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        # Only earlier batches count: later ones may be there when this one is repeated.
+        done = _sums(spark, output).where(F.col("lote") < number).agg(F.max("ultimo").alias("u"))
+        edge = done.select(F.col("u") - F.expr(f"INTERVAL {delay}")).first()[0]
+        rows = to_silver(batch, ["event_time", "is_fraud"])
+        late = F.coalesce(F.col("event_time") < F.lit(edge).cast("timestamp"), F.lit(False))
+        sums = rows.groupBy(F.date_trunc("month", "event_time").alias("mes"), late.alias("atrasada")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("is_fraud").alias("fraudes"), F.max("event_time").alias("ultimo")
+        )
+        tables.overwrite(sums.coalesce(1), f"{output}/lote={number}")
+
+    query = (
+        arriving_transactions(spark, landing, max_files)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    months = _sums(spark, output).groupBy("mes").agg(
+        F.sum("n").alias("n"),
+        F.sum("fraudes").alias("fraudes"),
+        F.sum(F.when(F.col("atrasada"), F.col("n")).otherwise(0)).alias("atrasadas"),
+    )
+    rate = F.try_divide("fraudes", "n")
+    return months.select("mes", "n", "fraudes", rate.alias("taxa"), "atrasadas").orderBy("mes")
+
+
+def _sums(spark: SparkSession, output: str) -> DataFrame:
+    """Sums of all micro-batches; none before the first."""
+    try:
+        return spark.read.schema(_MONTHS).option("basePath", output).parquet(f"{output}/lote=*").select(
+            "*", F.col("_metadata.file_path").alias("_p")
+        ).withColumn("lote", F.regexp_extract("_p", "lote=([0-9]+)", 1).cast("long")).drop("_p")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{_MONTHS}, lote long")
