@@ -248,8 +248,11 @@ def search(index: DataFrame, queries: DataFrame, k: int, width: int = WIDTH, blo
                     v = np.array(q["v"])
                     near = graph.search(v.astype(np.float32), max(width, k + 1))
                     exact = np.sqrt(((vectors[near] - v) ** 2).sum(1))
-                    found = sorted((float(d), j) for d, n in zip(exact, near) for j in ids[n] if j != q["id"])
-                    out += [(q["id"], j, d) for d, j in found[:k]]
+                    # An id with several vectors counts once, with its nearest.
+                    found: dict[int, float] = {}
+                    for d, j in sorted((float(d), j) for d, n in zip(exact, near) for j in ids[n] if j != q["id"]):
+                        found.setdefault(j, d)
+                    out += [(q["id"], j, d) for j, d in list(found.items())[:k]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))],
                     names=["query_id", "vec_id", "score"],
@@ -258,6 +261,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, width: int = WIDTH, blo
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         met.mapInArrow(run, "query_id long, vec_id long, score double")
+        .groupBy("query_id", "vec_id")
+        .agg(F.min("score").alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

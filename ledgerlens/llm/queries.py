@@ -188,7 +188,7 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     """Messages without quotes, in reply order."""
-    return link_quotes(_table(spark, folder, "conversations"))
+    return link_quotes(_table(spark, folder, "conversations"), by_line=True)
 
 
 ORACLES["op4_quotation_links"] = r"""
@@ -209,27 +209,35 @@ runs AS (
 bodies AS (
   SELECT id, run, min(level) AS level, string_agg(content, chr(10) ORDER BY i) AS body FROM runs GROUP BY id, run),
 passages AS (
-  SELECT id, run, level, CASE
-    WHEN level = 0 AND lead(level, 1, 0) OVER (PARTITION BY id ORDER BY run) > 0
-    THEN regexp_replace(body, '(?:\A|\n)[^\n]{0,200}\bwrote:\s*\z', '') ELSE body END AS body FROM bodies),
+  SELECT id, run, level, CASE WHEN lead(level, 1, 0) OVER (PARTITION BY id ORDER BY run) > level
+    THEN regexp_replace(body, '(?:\A|\n)[^\n]*\bwrote:\s*\z', '') ELSE body END AS body FROM bodies),
 own AS (
   SELECT id, string_agg(b, chr(10) || chr(10) ORDER BY run) AS text
   FROM (SELECT id, run, regexp_replace(body, '\A\s+|\s+\z', '', 'g') AS b FROM passages WHERE level = 0)
   WHERE b <> '' GROUP BY id),
-units AS (
-  SELECT DISTINCT id, run, level, trim(regexp_replace(
-    translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\s+', ' ', 'g'), ' ') AS unit
-  FROM (SELECT id, run, level, unnest(list_append(string_split_regex(body, '\n[ \t]*\n'), body)) AS part FROM passages)),
+paragraphs AS (
+  SELECT id, level, body, unnest(string_split_regex(body, '\n[ \t]*\n')) AS part FROM passages),
+parts AS (
+  SELECT id, level, body AS whole, body AS paragraph, body AS unit, 2 AS grade FROM passages
+  UNION ALL SELECT id, level, body, part, part, 1 FROM paragraphs
+  UNION ALL SELECT id, level, body, part, unnest(string_split(part, chr(10))), 0 FROM paragraphs),
 placed AS (
-  SELECT conv_id, turn, level, unit FROM units JOIN messages USING (id)
-  WHERE unit <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+  SELECT DISTINCT conv_id, turn, level, columns(['whole', 'paragraph', 'unit']), grade
+  FROM (SELECT id, level, grade, trim(regexp_replace(translate(columns(['whole', 'paragraph', 'unit']),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\s+', ' ', 'g'), ' ') FROM parts) JOIN messages USING (id)
+  WHERE unit <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL
+    AND (grade = 2 OR grade = 1 AND unit <> whole OR grade = 0 AND unit <> paragraph)),
 original AS (SELECT conv_id, unit, min(turn) AS source FROM placed WHERE level = 0 GROUP BY ALL),
+matched AS (
+  SELECT q.*, source, max(grade) OVER (PARTITION BY q.conv_id, turn, level, whole) AS most,
+    max(grade) OVER (PARTITION BY q.conv_id, turn, level, whole, paragraph) AS here
+  FROM placed q JOIN original o ON q.conv_id = o.conv_id AND q.unit = o.unit WHERE level > 0 AND source < turn),
 hits AS (
-  SELECT q.conv_id, turn, level, source, count(*) AS n
-  FROM (SELECT DISTINCT * FROM placed WHERE level > 0) q JOIN original o ON q.conv_id = o.conv_id AND q.unit = o.unit
-  WHERE source < turn GROUP BY ALL),
+  SELECT conv_id, turn, level, source, count(*) AS n, sum(length(unit)) AS size FROM (
+    SELECT DISTINCT conv_id, turn, level, source, unit FROM matched WHERE grade = 2 OR most < 2 AND grade = here)
+  GROUP BY ALL),
 links AS (
-  SELECT conv_id, turn, first(source ORDER BY level, n DESC, source DESC) AS reply_to, sum(n)::BIGINT AS n_linked
+  SELECT conv_id, turn, first(source ORDER BY level, size DESC, source DESC) AS reply_to, sum(n)::BIGINT AS n_linked
   FROM hits GROUP BY ALL),
 walk(conv_id, turn, up, depth) AS (
   SELECT conv_id, turn, reply_to, 1::BIGINT FROM links

@@ -16,7 +16,8 @@ from ledgerlens.session import materialise
 
 _PASSAGE, _LEVEL = "\x1e", "\x1f"  # marks of the parsed form, taken out of texts first
 _QUOTE = r"\A(?:[ \t]?>)+"
-_ATTRIBUTION = r"(?:\A|\n)[^\n]{0,200}\bwrote:\s*\z"
+_ATTRIBUTION = r"(?:\A|\n)[^\n]*\bwrote:\s*\z"
+_ANY_QUOTE = r"(?:\A|[\r\n])[ \t]?>"
 
 
 def _lines(text: Column) -> Column:
@@ -52,6 +53,12 @@ def _passages(lines: Column) -> Column:
     )
 
 
+def _unquoted(text: Column) -> Column:
+    """Own text of a message without any quote: what ``parse`` makes of it, without its steps."""
+    body = F.regexp_replace(F.regexp_replace(F.translate(text, _PASSAGE + _LEVEL, ""), r"\r\n|\r", "\n"), r"(\A|\n)[ \t]", "$1")
+    return F.regexp_replace(body, r"\A\s+|\s+\z", "")
+
+
 def _normal(body: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(body, UPPER, LOWER), r"\s+", " "))
 
@@ -170,9 +177,9 @@ def link_quotes(
     ``reply_to`` (turn, or null), ``thread`` (turn its thread starts with), ``depth`` (replies on
     the way), ``n_quoted`` (quoted passages), ``n_linked`` (quoted units found in earlier messages)
     and ``formatted`` (role header and text), ordered by conversation, thread, depth and turn, so
-    that a message follows the one it replies to. Quoted units are passages and paragraphs, as in
-    the statement of the registered query; ``by_line`` adds the lines of paragraphs, of which the
-    longest unit that matches counts, and drops attribution lines inside quotes before a deeper one.
+    that a message follows the one it replies to. Quoted units are passages and paragraphs;
+    ``by_line``, as in the registered query, adds the lines of paragraphs, of which the longest unit
+    that matches counts, and drops attribution lines inside quotes before a deeper one.
 
     A null text is empty; a message without links starts its own thread; quotes of later or
     unknown messages link nothing but are taken out all the same. Messages without conversation or
@@ -184,13 +191,21 @@ def link_quotes(
         F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
-    parsed = parse(source, by_line=by_line)
+    words = F.coalesce("text", F.lit(""))
+    quoting = F.translate(words, _PASSAGE + _LEVEL, "").rlike(_ANY_QUOTE)
+    # Only conversations that hold a quote can hold a link, so only their passages are hashed.
+    asked = source.where(quoting).select("conv").distinct()
+    parsed = parse(source.join(asked, "conv", "left_semi"), by_line=by_line)
     links = materialise(line_links(parsed) if by_line else reply_links(parsed))
     placed = materialise(links.join(threads(links), ["conv", "turn"]))
-    own = parsed.select(
+    own = parse(source.where(quoting), by_line=by_line).select(
         "conv", "turn", "role", F.col("own").alias("text"),
         F.size(F.filter("passages", lambda p: p["level"] > 0)).cast("long").alias("n_quoted"),
     )
+    plain = source.where(~quoting).select(
+        "conv", "turn", "role", _unquoted(words).alias("text"), F.lit(0).cast("long").alias("n_quoted")
+    )
+    own = own.unionByName(plain)
     return (
         own.join(placed, ["conv", "turn"], "left")
         .select(

@@ -63,3 +63,12 @@ def test_equal_vectors_ties_and_odd_rows(spark):
     assert found == expected
     assert result(hnsw.nearest(frame.where("vec_id >= 100"), queries))[100] == plain_nearest(rows[40:], [rows[40]])[100]
     assert hnsw.nearest(frame.limit(0), queries.limit(0)).collect() == []
+
+
+def test_an_id_with_several_vectors_is_listed_once(spark):
+    rows = [(0, [0.0, 1.0]), (1, [0.0, 1.1]), (1, [0.0, 1.2]), (1, [5.0, 1.0]), (2, [0.0, 1.15]), (2, [0.0, 1.3]), (3, [9.0, 9.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (2, 100):
+        got = hnsw.nearest(docs, docs.where("vec_id = 0"), shard_rows=shard_rows).orderBy("rank").collect()
+        assert [(r["rank"], r["vec_id"]) for r in got] == [(1, 1), (2, 2), (3, 3)]
+        assert abs(got[0]["score"] - 0.1) < 1e-12 and abs(got[1]["score"] - 0.15) < 1e-12

@@ -76,7 +76,7 @@ def test_matches_sql(spark, rows):
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    found = quotes.link_quotes(frame)
+    found = quotes.link_quotes(frame, by_line=True)
     assert found.where("n_linked > 0").count() > 0
     assert difference(found, con, ORACLES["op4_quotation_links"]) == ""
 
@@ -122,6 +122,20 @@ def test_attributions_inside_quotes(spark):
     assert _links(spark, rows, by_line=True) == [(None, 0), (0, 1), (1, 2)]
 
 
+def test_long_attributions(spark):
+    rows = ["Hello", "On " + "a very long day " * 40 + "someone wrote:\n> Hello\nHi"]
+    frame = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(rows)], "conv_id long, turn long, role string, text string")
+    assert sorted(r["text"] for r in quotes.link_quotes(frame).collect()) == ["Hello", "Hi"]
+
+
+def test_messages_without_quotes_are_read_as_parsed(spark):
+    texts = [None, "", " a\n b\r\n\tc\r d \n\n", "x >y\n - > z", "\x1ea\x1f", "wrote:\n", "\n\n wrote:"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "turn long, text string")
+    parsed = {r["turn"]: r["own"] for r in quotes.parse(frame).collect()}
+    whole = frame.selectExpr("turn AS conv_id", "turn", "'u' AS role", "text")
+    assert {r["turn"]: r["text"] for r in quotes.link_quotes(whole).collect()} == parsed
+
+
 def test_by_line_without_quotes_is_the_same(spark, small):
     messages = spark.read.parquet(f"{small}/conversations.parquet")
     lines = quotes.link_quotes(messages, by_line=True)
