@@ -21,11 +21,12 @@ def time_cutoff(
     df: DataFrame, p: float = 0.8, ts: str = "event_time", relative_error: float = 0.0
 ) -> int:
     """The cutoff as a number for the split filters. A positive ``relative_error`` uses the
-    bounded quantile sketch instead of exact ranks."""
+    bounded quantile sketch instead of exact ranks. 0 where there are no times."""
     if relative_error > 0:
         seconds = df.select(C.epoch_seconds(ts).alias("event_ts"))
-        return int(seconds.approxQuantile("event_ts", [p], relative_error)[0])
-    return int(time_cutoff_frame(df, p, ts).first()["corte"])
+        found = seconds.approxQuantile("event_ts", [p], relative_error)
+        return int(found[0]) if found else 0
+    return int(time_cutoff_frame(df, p, ts).first()["corte"] or 0)
 
 
 def time_split(df: DataFrame, cutoff: int, ts: str = "event_time") -> tuple[DataFrame, DataFrame]:

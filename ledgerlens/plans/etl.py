@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.functions import columns as C
 from ledgerlens.operators import quality, sampling
-from ledgerlens.session import require_utc
-from ledgerlens.sources import landing, tables
+from ledgerlens.session import materialise, require_utc
+from ledgerlens.sources import landing, ledger, tables
 
 # Raw columns each silver column is made from.
 SILVER_INPUTS = {
@@ -95,6 +96,20 @@ def build_bronze(spark: SparkSession, cfg: EtlConfig) -> None:
         )
 
 
+def _publish_gold(cutoff: int, cfg: EtlConfig, rows: Callable[..., DataFrame]) -> list[quality.Watched]:
+    """Publishes both gold tables of the silver rows that ``rows(before=, since=)`` reads."""
+    halves = {
+        "train": (rows(before=cutoff), cfg.train_fraction),
+        "test": (rows(since=cutoff), cfg.test_fraction),
+    }
+    audits = []
+    for name, (half, fraction) in halves.items():
+        kept = sampling.stratified_sample(half, fraction)
+        audits.append(quality.Watched(name, schemas.GOLD.names))
+        tables.publish(audits[-1](sampling.sample_weights(kept, fraction)), cfg.path(f"gold/{name}"))
+    return audits
+
+
 def run_etl(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
     """Write every layer and return its audit: rows, frauds, legitimate rows, time range and nulls per
     column, counted by the writes themselves, without a further scan. Each layer is read back from
@@ -115,17 +130,65 @@ def run_etl(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
     cutoff = sampling.time_cutoff(
         saved, cfg.cutoff_percentile, relative_error=cfg.cutoff_error
     )
-    halves = {
-        "train": (tables.read_by_month(spark, path, before=cutoff), cfg.train_fraction),
-        "test": (tables.read_by_month(spark, path, since=cutoff), cfg.test_fraction),
-    }
-    for name, (rows, fraction) in halves.items():
-        kept = sampling.stratified_sample(rows, fraction)
-        audits.append(quality.Watched(name, schemas.GOLD.names))
-        tables.publish(audits[-1](sampling.sample_weights(kept, fraction)), cfg.path(f"gold/{name}"))
+    audits += _publish_gold(cutoff, cfg, lambda **bounds: tables.read_by_month(spark, path, **bounds))
     return spark.createDataFrame([a.row() for a in audits], quality.AUDIT)
 
 
 def read_gold(spark: SparkSession, cfg: EtlConfig, name: str) -> DataFrame:
     """The published ``train`` or ``test`` table."""
     return tables.read_published(spark, cfg.path(f"gold/{name}"), schemas.GOLD)
+
+
+def run_incremental(spark: SparkSession, cfg: EtlConfig) -> DataFrame:
+    """Loads the landing files that are not in the ledger, or changed since, and returns their ledger
+    rows (none when nothing is new, and nothing is written then).
+
+    Only the new files are parsed: bronze and silver get a folder per load. Gold is made anew from all
+    silver rows, since the cutoff moves with them. The ledger is published last: a run that breaks
+    before leaves rows that no reader counts, and the next run loads the same files again. Files that
+    leave the landing folder stay loaded; a file must be whole when it lands. Ids that repeat across
+    files are settled where silver is read (``deduplicate``), not in the stored rows."""
+    require_utc(spark)
+    book = cfg.path("ledger")
+    known = ledger.read_ledger(spark, book)
+    files = materialise(ledger.pending(ledger.landed(spark, cfg.landing_transactions, "*.csv"), known))
+    paths = [r["arquivo"] for r in files.select("arquivo").toLocalIterator()]
+    if not paths:
+        return known.limit(0)
+    load = ledger.new_load()
+    # A condition on the path is settled when the files are listed; the others are not opened.
+    raw = (
+        spark.read.option("recursiveFileLookup", "true")
+        .csv(cfg.landing_transactions, schema=schemas.TRANSACTIONS, header=True, enforceSchema=True, pathGlobFilter="*.csv")
+        .select("*", F.col("_metadata.file_path").alias("arquivo"))
+        .where(F.col("arquivo").isin(paths))
+    )
+    bronze = f"{cfg.path('bronze/loads')}/carga={load}"
+    raw.write.parquet(bronze)
+    kept = spark.read.parquet(bronze)
+    origin = kept.select("*", F.lit(load).alias("carga"))
+    silver = to_silver(origin, [*schemas.SILVER.names, *ledger.ORIGIN], cfg.salt).drop("carga")
+    tables.overwrite_by_month(silver, f"{cfg.path('silver/loads')}/carga={load}")
+    lines = kept.groupBy("arquivo").agg(F.count(F.lit(1)).alias("linhas"))
+    book_after = materialise(ledger.updated(known, files, lines, load))
+
+    def rows(**bounds) -> DataFrame:
+        return _loaded_silver(spark, cfg, book_after, **bounds)
+
+    cutoff = sampling.time_cutoff(rows(), cfg.cutoff_percentile, relative_error=cfg.cutoff_error)
+    _publish_gold(cutoff, cfg, rows)
+    tables.publish(book_after, book)
+    return book_after.where(F.col("carga") == load)
+
+
+def _loaded_silver(spark: SparkSession, cfg: EtlConfig, book: DataFrame, **bounds) -> DataFrame:
+    origin = [f for f in ledger.LEDGER if f.name in ledger.ORIGIN]
+    schema = T.StructType([*schemas.SILVER.fields, *origin])
+    stored = tables.read_by_month(spark, cfg.path("silver/loads"), schema=schema, **bounds)
+    silver = ledger.counted(stored, book).select(*schemas.SILVER.names)
+    return quality.dedup_latest(silver) if cfg.deduplicate else silver
+
+
+def read_loaded(spark: SparkSession, cfg: EtlConfig, before: int | None = None, since: int | None = None) -> DataFrame:
+    """Silver rows of all loads that the published ledger names, in ``[since, before)``."""
+    return _loaded_silver(spark, cfg, ledger.read_ledger(spark, cfg.path("ledger")), before=before, since=since)

@@ -461,6 +461,13 @@ ORACLES: dict[str, str] = {
           CASE WHEN row_id % 50 = 3 THEN 'amt' END) AS bad FROM tx)
         SELECT CASE WHEN bad = '' THEN 'aceita' ELSE bad END AS fim, count(*) AS n,
           round(sum(CASE WHEN bad = '' THEN amt END), 2) AS valor FROM ended GROUP BY 1""",
+    "etl_incremental": f"""WITH {SILVER_CTE}, {CUT}, {_gold('train', 0.02)}, {_gold('test', 0.05)}, every AS (
+        SELECT 'silver' AS parte, *, CAST(NULL AS DOUBLE) AS sample_weight FROM silver
+        UNION ALL SELECT 'train' AS parte, * FROM train UNION ALL SELECT 'test' AS parte, * FROM test)
+        SELECT *, CAST(0 AS BIGINT) AS novos FROM every""",
+    "customer_history": _silver("""SELECT customer_hash, trans_num, event_time, amt, category, merchant, is_fraud,
+        row_number() OVER (ORDER BY event_time, trans_num) AS ordem FROM silver
+        WHERE customer_hash = (SELECT customer_hash FROM silver GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"""),
     "etl_audit": f"""WITH {SILVER_CTE}, {CUT}, {_gold('train', 0.02)}, {_gold('test', 0.05)}, """
     + ", ".join(
         f"""a_{t} AS (SELECT '{t}' AS tabela, count(*) AS n, count(*) FILTER (is_fraud = 1) AS fraudes,

@@ -1006,6 +1006,40 @@ def etl_gold(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def etl_incremental(spark, sf):
+    """Silver and gold after two incremental runs, a third that finds nothing new, and a file that
+    grew under its name before the second."""
+    root = new_folder(spark, "etl")
+    saved = f"{root}/rows"
+    tables.overwrite(fixture.transactions(spark, sf), saved)
+    rows = spark.read.schema(schemas.TRANSACTIONS).parquet(saved)
+    cfg = etl.EtlConfig(root, f"{root}/landing", cutoff_error=0.0)
+    rows.where("row_id % 3 = 0").write.csv(f"{root}/landing/a", header=True)
+    rows.where("row_id % 3 = 1 and row_id % 2 = 0").coalesce(1).write.csv(f"{root}/landing/b", header=True)
+    etl.run_incremental(spark, cfg)
+    name = next(f for f in spark.read.text(f"{root}/landing/b").inputFiles() if f.endswith(".csv"))
+    rows.where("row_id % 3 = 1").coalesce(1).write.csv(f"{root}/later", header=True)
+    tables.replace_file(spark, next(f for f in spark.read.text(f"{root}/later").inputFiles() if f.endswith(".csv")), name)
+    rows.where("row_id % 3 = 2").write.csv(f"{root}/landing/c", header=True)
+    etl.run_incremental(spark, cfg)
+    again = etl.run_incremental(spark, cfg).count()
+    parts = [etl.read_loaded(spark, cfg).select(F.lit("silver").alias("parte"), "*", F.lit(None).cast("double").alias("sample_weight"))]
+    parts += [etl.read_gold(spark, cfg, n).select(F.lit(n).alias("parte"), "*") for n in ("train", "test")]
+    return reduce(DataFrame.unionByName, parts).withColumn("novos", F.lit(again).cast("long"))
+
+
+@query
+def customer_history(spark, sf):
+    """All transactions of the customer with the most (ties: the smaller hash), looked up in the
+    clustered layout, with the running number."""
+    root = new_folder(spark, "clustered")
+    tables.overwrite_clustered(silver(spark, sf), root)
+    saved = tables.read_by_month(spark, root)
+    busiest = saved.groupBy("customer_hash").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "customer_hash").first()
+    return rates.customer_history(saved, busiest["customer_hash"] if busiest else None)
+
+
 @query
 def retrain_summary(spark, sf):
     """Two retrains in a row: the first has no champion, the second challenges it with an equal."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import schemas
 
@@ -23,6 +24,15 @@ def _files(spark: SparkSession, path: str):
     return target, jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a file onto another in one step."""
+    rename = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    moved, files = _files(spark, source)
+    files.rename(moved, _files(spark, target)[0], options)
+
+
 def publish(df: DataFrame, path: str) -> str:
     """Writes a new version of a table beside the old ones and then moves its pointer in one step
     (a rename). Until then, and after a write that fails, readers have the version before. Old
@@ -33,12 +43,7 @@ def publish(df: DataFrame, path: str) -> str:
     draft = f"{path}/_ponteiro-{version}"
     spark.createDataFrame([(version,)], "versao string").coalesce(1).write.text(draft)
     part = next(f for f in spark.read.text(draft).inputFiles() if "part-" in f)
-    jvm = spark.sparkContext._jvm
-    source, files = _files(spark, part)
-    target, _ = _files(spark, f"{path}/atual")
-    overwrite_it = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite_it[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    files.rename(source, target, overwrite_it)
+    replace_file(spark, part, f"{path}/atual")
     return f"{path}/{version}"
 
 
@@ -89,17 +94,64 @@ def overwrite_by_month(
     )
 
 
+CLUSTER_BITS = 4
+
+
+def _range_rank(value: Column, cuts: list) -> Column:
+    """Number of cut points at or below the value; nulls come first."""
+    return sum((F.coalesce(value >= F.lit(c), F.lit(False)).cast("int") for c in cuts), F.lit(0))
+
+
+def _interleaved(a: Column, b: Column, bits: int) -> Column:
+    """The bits of two ranks in turn, the first rank's ahead."""
+    out = F.lit(0)
+    for i in range(bits):
+        out = out + F.shiftleft(F.shiftright(a, i).bitwiseAND(1), 2 * i + 1)
+        out = out + F.shiftleft(F.shiftright(b, i).bitwiseAND(1), 2 * i)
+    return out
+
+
+def overwrite_clustered(
+    df: DataFrame, path: str, key: str = "customer_hash", event_time: str = "event_time", files: int | None = None, bits: int = CLUSTER_BITS
+) -> None:
+    """Month folders whose files are laid out along the interleaved range ranks of time and of a
+    hexadecimal key, so that both a time range and a key reach few row groups by their statistics.
+
+    The ranks' cut points are sketch quantiles of time within its month and equal parts of the key's
+    first eight digits, since a hash is spread evenly. Rows are range-partitioned by month, place
+    along the curve, key and time: a key that holds any share of the rows is split by time. Null and
+    other keys come first. ``files`` is the number of range partitions (the session's if not given)."""
+    month = _month(F.col(event_time))
+    since = F.unix_seconds(event_time) - F.unix_seconds(F.date_trunc("month", event_time))
+    steps = 1 << bits
+    shares = [i / steps for i in range(1, steps)]
+    cuts = df.agg(F.percentile_approx(since, shares, 1000).alias("c")).first()["c"] or []
+    digits = F.conv(F.regexp_extract(key, "^[0-9a-f]{8}", 0), 16, 10).try_cast("long")
+    place = _interleaved(
+        _range_rank(digits, [(i << 32) // steps for i in range(1, steps)]), _range_rank(since, cuts), bits
+    )
+    rows = df.withColumn(MONTH_PARTITION, month).withColumn("_lugar", place)
+    order = [MONTH_PARTITION, "_lugar", key, event_time]
+    spread = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+    spread.sortWithinPartitions(*order).drop("_lugar").write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
+
+
 def read_by_month(
     spark: SparkSession,
     path: str,
     before: int | None = None,
     since: int | None = None,
     event_time: str = "event_time",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Scan of a month-partitioned table, limited to epoch seconds ``[since, before)``.
+    """Scan of a month-partitioned table, limited to epoch seconds ``[since, before)``. With a
+    ``schema`` (its folder columns but the month included) a table without files is read as empty.
 
     The bounds prune folders and reach the Parquet scan as timestamp literals."""
-    df = spark.read.option("basePath", path).parquet(path)
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(MONTH_PARTITION, T.StringType())]))
+    df = reader.parquet(path)
     df = df.withColumn(MONTH_PARTITION, F.col(MONTH_PARTITION).cast("string"))
     for bound, keep in ((since, "ge"), (before, "lt")):
         if bound is None:

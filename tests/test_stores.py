@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import glob
 import os
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
-from ledgerlens.operators import quality, sketches
-from ledgerlens.plans import registry
+from ledgerlens.operators import quality, rates, sketches
+from ledgerlens.plans import etl, registry
 from ledgerlens.session import shared_root
 from ledgerlens.sources import fixture, landing, tables
 from ledgerlens.streaming import ingest
@@ -154,3 +156,109 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Session())
+
+
+def _cfg(folder, **more):
+    return etl.EtlConfig(folder, f"{folder}/landing", cutoff_error=0.0, **more)
+
+
+def _land(rows, folder, name, where):
+    rows.where(where).coalesce(1).write.csv(f"{folder}/landing/{name}", header=True)
+
+
+def test_a_second_load_reads_new_files_only(spark, small, folder):
+    rows, cfg = fixture.transactions(spark, small).cache(), _cfg(folder)
+    _land(rows, folder, "um", "row_id % 2 = 0")
+    first = {r["arquivo"]: r["linhas"] for r in etl.run_incremental(spark, cfg).collect()}
+    assert sum(first.values()) == rows.where("row_id % 2 = 0").count()
+    _land(rows, folder, "dois com espaco", "row_id % 2 = 1")
+    opened = spark.read.csv(f"{folder}/landing/um", schema=schemas.TRANSACTIONS, header=True).inputFiles()
+    for name in opened:  # content that a second reading of the first file would bring in
+        path = name.removeprefix("file://")
+        at = os.stat(path)
+        with open(path, "r+b") as f:
+            body = f.read()
+            f.seek(0)
+            f.write(body.replace(b"adults", b"ADULTS"))
+        os.utime(path, ns=(at.st_atime_ns, at.st_mtime_ns))
+    second = {r["arquivo"]: r["linhas"] for r in etl.run_incremental(spark, cfg).collect()}
+    assert len(second) == 1 and not set(first) & set(second)
+    assert spark.read.parquet(f"{folder}/bronze/loads").where("profile = 'ADULTS'").count() == 0
+    assert etl.read_loaded(spark, cfg).count() == rows.count()
+    assert etl.run_incremental(spark, cfg).count() == 0
+
+
+def test_a_load_that_breaks_is_not_counted_and_taken_again(spark, small, folder, monkeypatch):
+    rows, cfg = fixture.transactions(spark, small).cache(), _cfg(folder)
+    _land(rows, folder, "um", "row_id % 2 = 0")
+    etl.run_incremental(spark, cfg)
+    _land(rows, folder, "dois", "row_id % 2 = 1")
+    with monkeypatch.context() as m:
+        m.setattr(etl, "_publish_gold", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            etl.run_incremental(spark, cfg)
+    assert etl.read_loaded(spark, cfg).count() == rows.where("row_id % 2 = 0").count()
+    etl.run_incremental(spark, cfg)
+    found = etl.read_loaded(spark, cfg)
+    assert found.count() == rows.count() and found.exceptAll(etl.to_silver(rows)).count() == 0
+
+
+def test_files_without_rows_and_no_files(spark, small, folder):
+    rows, cfg = fixture.transactions(spark, small), _cfg(folder)
+    os.makedirs(f"{folder}/landing")
+    assert etl.run_incremental(spark, cfg).collect() == []
+    with open(f"{folder}/landing/vazio.csv", "w") as f:
+        f.write(",".join(schemas.TRANSACTIONS.names) + "\n")
+    assert [r["linhas"] for r in etl.run_incremental(spark, cfg).collect()] == [0]
+    assert etl.read_loaded(spark, cfg).count() == 0 and etl.read_gold(spark, cfg, "train").count() == 0
+    _land(rows, folder, "um", "row_id % 9 = 0")
+    etl.run_incremental(spark, cfg)
+    assert etl.read_loaded(spark, cfg).count() == rows.where("row_id % 9 = 0").count()
+
+
+def _groups_with(path, column, value):
+    """Row groups whose statistics admit the value, and all row groups."""
+    hit = total = 0
+    for name in glob.glob(f"{path}/*/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            stats = next(c.statistics for c in map(meta.row_group(g).column, range(meta.num_columns)) if c.path_in_schema == column)
+            total += 1
+            hit += stats is None or not stats.has_min_max or stats.min <= value <= stats.max
+    return hit, total
+
+
+def test_the_clustered_layout_reads_fewer_row_groups(spark, folder):
+    silver = registry.silver(spark, "/root/testdata/sf0.01").where("event_time >= '1999-01-01' and event_time < '1999-04-01'").cache()
+    # One customer holds a third of the rows.
+    hot = silver.withColumn("customer_hash", F.when(F.pmod(F.xxhash64("trans_num"), F.lit(3)) == 0, F.lit("8" * 64)).otherwise(F.col("customer_hash")))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        tables.overwrite_by_month(silver, f"{folder}/month")
+        tables.overwrite_clustered(silver, f"{folder}/clustered", files=8)
+        tables.overwrite_clustered(hot, f"{folder}/hot", files=8)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    hashes = sorted(r[0] for r in silver.select("customer_hash").distinct().collect())
+    some = [hashes[len(hashes) * i // 8] for i in range(1, 8)]
+    plain = [_groups_with(f"{folder}/month", "customer_hash", value)[0] for value in some]
+    few = [_groups_with(f"{folder}/clustered", "customer_hash", value)[0] for value in some]
+    print("row groups read", plain, few)
+    assert 2 * sum(few) <= sum(plain)
+    middle = some[3]
+    for name, rows in (("clustered", silver), ("hot", hot)):
+        back = tables.read_by_month(spark, f"{folder}/{name}")
+        assert back.count() == rows.count() and back.select(rows.columns).exceptAll(rows).count() == 0
+    look = rates.customer_history(tables.read_by_month(spark, f"{folder}/clustered"), middle)
+    assert "PushedFilters: [IsNotNull(customer_hash), EqualTo(customer_hash" in plan(look)
+
+
+def test_clustered_nulls_and_empty(spark, folder):
+    rows = spark.createDataFrame(
+        [(None, None, 1), ("x", datetime(2020, 1, 2), 2), ("a" * 64, None, 3), (None, datetime(2020, 2, 2), 4), ("a" * 64, datetime(2020, 2, 2), 5)],
+        "customer_hash string, event_time timestamp, trans_num int",
+    )
+    tables.overwrite_clustered(rows, f"{folder}/t", files=2)
+    assert sorted(r["trans_num"] for r in spark.read.parquet(f"{folder}/t").collect()) == [1, 2, 3, 4, 5]
+    tables.overwrite_clustered(rows.limit(0), f"{folder}/e")
+    assert tables.read_by_month(spark, f"{folder}/e", schema=rows.schema).count() == 0
