@@ -7,13 +7,14 @@ triangle inequality prunes:
 1. Equal points are merged first; each keeps its ``k + 1`` smallest ids, so a point shared by a
    large part of the rows is compared once.
 2. Points join the cell of their nearest pivot (hash-chosen points, as many as the square root of
-   the point count asks for, so that cells stay small as data grow). Cells are split by hash into
-   blocks of bounded size, so a dense cell is many blocks.
+   the point count asks for, so that cells stay small as data grow). The pivots are grouped around
+   pivots of their own, and a point looks only into groups that can hold a nearer one. Cells are
+   split by hash into blocks of bounded size, so a dense cell is many blocks.
 3. Each block finds an upper bound on its points' k-th distance among itself, and sends the
-   points, packed, to those cells whose distance to the point can lie within the bound.
+   points, packed with their bounds, to those cells whose distance to the point can lie within it.
 4. Packed points meet packed blocks in an equi-join. Each pair is a small matrix computation
-   that returns at most ``k + 1`` neighbours per point (never the pairs themselves); the lists
-   of one point are then merged.
+   that returns at most ``k + 1`` neighbours per point within its bound (never the pairs
+   themselves); the lists of one point are then merged.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,6 +62,71 @@ def _matrix(points) -> np.ndarray:
     return np.array([np.asarray(p, dtype=float) for p in points])
 
 
+def _within(bound: np.ndarray) -> np.ndarray:
+    """The slack covers rounding: rows tied with the k-th distance must be met too."""
+    return bound * (1 + 1e-9) + 1e-4
+
+
+class PivotTree:
+    """Pivots grouped around about the square root of their number of heads, with the radius of each
+    group; ``counted`` is the number of distances taken."""
+
+    def __init__(self, pivots: np.ndarray, numeric: int, mismatch: float):
+        self.pivots, self.numeric, self.mismatch, self.counted = pivots, numeric, mismatch, 0
+        self.heads = pivots[: math.ceil(math.sqrt(len(pivots)))]
+        far = self.distances(pivots, self.heads)
+        self.group = far.argmin(axis=1)
+        self.from_head = far[np.arange(len(pivots)), self.group]
+        self.members = [np.flatnonzero(self.group == g) for g in range(len(self.heads))]
+        self.counted = 0
+
+    def distances(self, points: np.ndarray, others: np.ndarray) -> np.ndarray:
+        self.counted += len(points) * len(others)
+        return np.sqrt(squared_distances(points, others, self.numeric, self.mismatch))
+
+    def radius(self, extra: np.ndarray | float = 0.0) -> np.ndarray:
+        """Per group the largest distance from the head to a pivot, plus ``extra`` of the pivot."""
+        reach = self.from_head + extra
+        return np.array([reach[m].max(initial=-np.inf) for m in self.members])
+
+    def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest pivot of each point and its distance."""
+        cell, best = np.zeros(len(points), dtype=int), np.full(len(points), np.inf)
+        radius = self.radius()
+        to_heads = self.distances(points, self.heads)
+        first = to_heads.argmin(axis=1)
+        for own in (True, False):
+            for g, members in enumerate(self.members):
+                if own:
+                    rows = np.flatnonzero(first == g)
+                else:
+                    rows = np.flatnonzero((first != g) & (to_heads[:, g] - radius[g] <= best))
+                if not len(rows) or not len(members):
+                    continue
+                row, member, d = self.in_ring(points, rows, members, to_heads[rows, g], best[rows])
+                # Per point the nearest of its pairs, which come in the order of the points.
+                order = np.lexsort((d, row))
+                row, member, d = row[order], member[order], d[order]
+                lead = np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]
+                row, member, d = row[lead], member[lead], d[lead]
+                nearer = d < best[row]
+                best[row[nearer]], cell[row[nearer]] = d[nearer], member[nearer]
+        return cell, best
+
+    def in_ring(
+        self, points: np.ndarray, rows: np.ndarray, members: np.ndarray, to_head: np.ndarray, reach: np.ndarray, extra: np.ndarray | float = 0.0
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, pivot, distance) of the pairs of a point and a pivot of one group whose distances to
+        the head differ by ``reach`` plus ``extra`` at most: no others can lie that near."""
+        gap = np.abs(to_head[:, None] - self.from_head[members]) - extra
+        row, member = np.nonzero(gap <= reach[:, None] + 1e-9)
+        row, member = rows[row], members[member]
+        self.counted += len(row)
+        apart = points[row] - self.pivots[member]
+        apart[:, self.numeric :] = self.mismatch * (apart[:, self.numeric :] != 0)
+        return row, member, np.sqrt((apart**2).sum(axis=1))
+
+
 def _distinct_points(rows: DataFrame, k: int) -> DataFrame:
     """One row per point with its ``k + 1`` smallest ids. The rank filter is applied by every
     map task before the shuffle, so no task receives all ids of a frequent point."""
@@ -68,16 +135,13 @@ def _distinct_points(rows: DataFrame, k: int) -> DataFrame:
     return first.groupBy("x").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def _assign_cells(points: DataFrame, pivots: np.ndarray, numeric: int, mismatch: float) -> DataFrame:
+def _assign_cells(points: DataFrame, tree: PivotTree) -> DataFrame:
     @F.pandas_udf("struct<cell:int, r:double>")
     def nearest(x: pd.Series) -> pd.DataFrame:
         points = _matrix(x)
-        cell, r = np.zeros(len(points), dtype=int), np.zeros(len(points))
-        for at in range(0, len(points), STRIP_POINTS):
-            d2 = squared_distances(points[at : at + STRIP_POINTS], pivots, numeric, mismatch)
-            best = d2.argmin(axis=1)
-            cell[at : at + STRIP_POINTS] = best
-            r[at : at + STRIP_POINTS] = np.sqrt(d2[np.arange(len(best)), best])
+        # In strips, so that memory does not grow with points times pivots.
+        parts = [tree.nearest(points[at : at + STRIP_POINTS]) for at in range(0, len(points), STRIP_POINTS)]
+        cell, r = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, int), np.zeros(0))
         return pd.DataFrame({"cell": cell, "r": r})
 
     return points.withColumn("_c", nearest("x")).select("x", "ids", "_c.cell", "_c.r")
@@ -86,9 +150,9 @@ def _assign_cells(points: DataFrame, pivots: np.ndarray, numeric: int, mismatch:
 class _Cells:
     """Per-cell figures, one entry per pivot."""
 
-    def __init__(self, stats: list, pivots: np.ndarray, block_points: int):
-        n = len(pivots)
-        self.pivots = pivots
+    def __init__(self, stats: list, tree: PivotTree, block_points: int):
+        n = len(tree.pivots)
+        self.tree = tree
         self.ids = np.zeros(n)
         self.low = np.full(n, np.inf)
         self.high = np.full(n, -np.inf)
@@ -97,24 +161,44 @@ class _Cells:
             self.ids[s["cell"]] = s["ids"]
             self.low[s["cell"]], self.high[s["cell"]] = s["low"], s["high"]
             self.blocks[s["cell"]] = -(-s["points"] // block_points)
+        self.reach = tree.radius(self.high)
 
-    def upper_bound(self, d: np.ndarray, need: int) -> np.ndarray:
-        """Distance within which whole cells already hold ``need`` ids."""
-        reach = np.where(self.ids > 0, d + self.high, np.inf)
+    def upper_bound(self, d: np.ndarray, some: np.ndarray, need: int) -> np.ndarray:
+        """Distance within which whole cells, of those in ``some``, already hold ``need`` ids."""
+        held_by = self.ids[some]
+        reach = np.where(held_by > 0, d + self.high[some], np.inf)
         order = reach.argsort(axis=1)
-        held = self.ids[order].cumsum(axis=1)
+        held = held_by[order].cumsum(axis=1)
         at = (held >= need).argmax(axis=1)
         rows = np.arange(len(d))
         found = held[rows, at] >= need
         return np.where(found, reach[rows, order[rows, at]], np.inf)
 
-    def lower_bounds(self, d: np.ndarray, own: int) -> np.ndarray:
-        """Least possible distance from each point to the members of each cell."""
-        ring = np.maximum(d - self.high, self.low - d)
-        plane = (d - d[:, [own]]) / 2
-        out = np.maximum(np.maximum(ring, plane), 0.0)
-        out[:, self.ids == 0] = np.inf
-        return out
+    def bounds(self, x: np.ndarray, own: int, known: np.ndarray, need: int) -> np.ndarray:
+        """Upper bound on the k-th distance: ``known``, or the cells of the own group, or else all."""
+        near = self.tree.members[self.tree.group[own]]
+        bound = np.minimum(known, self.upper_bound(self.tree.distances(x, self.tree.pivots[near]), near, need))
+        open_ = np.flatnonzero(np.isinf(bound))
+        if len(open_):
+            every = np.arange(len(self.ids))
+            bound[open_] = self.upper_bound(self.tree.distances(x[open_], self.tree.pivots), every, need)
+        return bound
+
+    def targets(self, x: np.ndarray, own: int, reach: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(cell, rows of x) where the cell can hold a point within the row's reach."""
+        to_heads = self.tree.distances(x, self.tree.heads)
+        to_own = self.tree.distances(x, self.tree.pivots[[own]])
+        for g, members in enumerate(self.tree.members):
+            rows = np.flatnonzero(to_heads[:, g] - self.reach[g] <= reach)
+            if not len(rows):
+                continue
+            row, cell, d = self.tree.in_ring(x, rows, members, to_heads[rows, g], reach[rows], self.high[members])
+            ring = np.maximum(d - self.high[cell], self.low[cell] - d)
+            least = np.maximum(np.maximum(ring, (d - to_own[row, 0]) / 2), 0.0)
+            wanted = (least <= reach[row]) & (self.ids[cell] > 0)
+            row, cell = row[wanted], cell[wanted]
+            for c in np.unique(cell):
+                yield int(c), row[cell == c]
 
 
 def _own_bound(d2: np.ndarray, n_ids: np.ndarray, need: int) -> np.ndarray:
@@ -130,26 +214,30 @@ def _own_bound(d2: np.ndarray, n_ids: np.ndarray, need: int) -> np.ndarray:
     return np.where(found, np.sqrt(d2[flat, cols[flat, at]]), np.inf)
 
 
-def _best_per_query(d2: np.ndarray, ids: list, need: int):
-    """(query, point, id, tie, squared distance) of the ``need`` nearest ids of every query."""
-    rounded = np.round(d2, TIE_DIGITS)
-    near = min(need, d2.shape[1])
-    limit = np.partition(rounded, near - 1, axis=1)[:, near - 1]
-    query, point = np.nonzero(rounded <= limit[:, None])
-    counts = np.array([len(i) for i in ids])
-    times = counts[point]
-    flat_ids = np.concatenate([np.asarray(i, dtype=object) for i in ids])
-    starts = np.concatenate([[0], counts.cumsum()[:-1]])
-    offset = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
-    picked = flat_ids[np.repeat(starts[point], times) + offset]
+def _best_per_query(d2: np.ndarray, reach: np.ndarray, ids: list, need: int):
+    """(query, point, id, tie, squared distance) of the ``need`` nearest ids of every query within
+    its reach."""
+    limit = np.square(reach)
+    many = np.flatnonzero((d2 <= limit[:, None]).sum(axis=1) > need)
+    if len(many):
+        kth = np.partition(d2[many], need - 1, axis=1)[:, need - 1]
+        limit[many] = np.minimum(limit[many], kth + 2 * 10.0**-TIE_DIGITS)
+    query, point = np.nonzero(d2 <= limit[:, None])
+    times = np.array([len(ids[p]) for p in point], dtype=int)
+    picked = [i for p in point for i in ids[p]]
     query, point = np.repeat(query, times), np.repeat(point, times)
-    frame = pd.DataFrame(
-        {"q": query, "p": point, "id": picked, "tie": rounded[query, point], "d2": d2[query, point]}
-    )
+    gap = d2[query, point]
+    frame = pd.DataFrame({"q": query, "p": point, "id": picked, "tie": np.round(gap, TIE_DIGITS), "d2": gap})
     frame = frame.sort_values(["q", "tie", "id"], kind="stable")
     return frame[frame.groupby("q").cumcount() < need]
 
 
+def _lists(points: np.ndarray) -> pa.Array:
+    """Rows of a matrix as an Arrow column of lists."""
+    count, width = points.shape
+    return pa.ListArray.from_arrays(np.arange(0, (count + 1) * width, width, dtype=np.int32), pa.array(points.ravel()))
+
+
 def k_nearest(
     rows: DataFrame,
     numeric: Sequence[str],
@@ -179,76 +267,83 @@ def k_nearest(
 
     # Finding pivots is heavy work on few bytes, so it is dealt to all cores.
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    placed = materialise(_assign_cells(points.repartition(cores, "x"), pivots, n_num, mismatch))
+    tree = PivotTree(pivots, n_num, mismatch)
+    placed = materialise(_assign_cells(points.repartition(cores, "x"), tree))
     stats = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("points"),
         F.sum(F.size("ids")).alias("ids"),
         F.min("r").alias("low"),
         F.max("r").alias("high"),
     )
-    cells = _Cells(stats.collect(), pivots, block_points)
+    cells = _Cells(stats.collect(), tree, block_points)
     splits = F.element_at(F.lit([max(1, int(b)) for b in cells.blocks]), F.col("cell") + 1)
     blocks = (
         placed.withColumn("part", F.pmod(F.xxhash64("x"), splits).cast("int"))
         .groupBy("cell", "part")
-        .agg(F.collect_list(F.struct("x", "ids")).alias("members"))
+        .agg(F.collect_list(F.struct("x", "ids")).alias("m"))
+        .select("cell", "part", F.flatten("m.x").alias("flat"), F.col("m.ids").alias("ids"))
     )
     # Work per block outweighs its bytes, so the task count follows the blocks. No block can
     # become much hotter than another: each is compared with every point at most once.
     total = int(cells.blocks.sum())
     tasks = max(rows.sparkSession.sparkContext.defaultParallelism, total)
     blocks = materialise(blocks).repartition(tasks, "cell", "part")
+    width = len(coordinates)
+
+    def matrix_of(batch: pa.RecordBatch, i: int) -> np.ndarray:
+        return batch.column("flat")[i].values.to_numpy(zero_copy_only=False).reshape(-1, width)
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cell, members in zip(batch["cell"], batch["members"]):
-                x = _matrix([m["x"] for m in members])
-                n_ids = np.array([len(m["ids"]) for m in members])
+            for i, cell in enumerate(batch.column("cell").to_pylist()):
+                x = matrix_of(batch, i)
+                n_ids = batch.column("ids")[i].values.value_lengths().to_numpy(zero_copy_only=False)
                 own = _own_bound(squared_distances(x, x, n_num, mismatch), n_ids, need)
-                wanted = np.zeros((len(x), len(cells.pivots)), dtype=bool)
                 # In strips, so that memory does not grow with points times pivots.
+                reach = np.empty(len(x))
                 for at in range(0, len(x), STRIP_POINTS):
                     strip = slice(at, at + STRIP_POINTS)
-                    to_pivots = np.sqrt(squared_distances(x[strip], cells.pivots, n_num, mismatch))
-                    bound = np.minimum(own[strip], cells.upper_bound(to_pivots, need))
-                    # The slack covers rounding: rows tied with the k-th distance must be met too.
-                    reach = bound * (1 + 1e-9) + 1e-4
-                    wanted[strip] = cells.lower_bounds(to_pivots, cell) <= reach[:, None]
-                for target in np.nonzero(wanted.any(axis=0))[0]:
-                    packed = x[wanted[:, target]].ravel().tobytes()
-                    yield pd.DataFrame(
-                        {
-                            "cell": np.int32(target),
-                            "part": np.arange(cells.blocks[target], dtype=np.int32),
-                            "queries": packed,
-                        }
+                    reach[strip] = _within(cells.bounds(x[strip], cell, own[strip], need))
+                for target, rows in cells.targets(x, cell, reach):
+                    packed = np.column_stack([x[rows], reach[rows]]).tobytes()
+                    parts = int(cells.blocks[target])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([target] * parts, pa.int32()),
+                            pa.array(range(parts), pa.int32()),
+                            pa.array([packed] * parts, pa.binary()),
+                        ],
+                        names=["cell", "part", "queries"],
                     )
 
-    queries = blocks.mapInPandas(send, "cell int, part int, queries binary")
-    width = len(coordinates)
+    queries = blocks.mapInArrow(send, "cell int, part int, queries binary")
 
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, x, ids = None, None, None
         for batch in batches:
-            for packed, members in zip(batch["queries"], batch["members"]):
-                asked = np.frombuffer(packed).reshape(-1, width)
-                x = _matrix([m["x"] for m in members])
-                ids = [m["ids"] for m in members]
-                d2 = squared_distances(asked, x, n_num, mismatch)
-                best = _best_per_query(d2, ids, need)
-                yield pd.DataFrame(
-                    {
-                        "x": list(asked[best["q"]]),
-                        "tie": best["tie"].to_numpy(),
-                        "d2": best["d2"].to_numpy(),
-                        "id": best["id"].to_numpy(),
-                        "nx": list(x[best["p"]]),
-                    }
-                )
-
-    found = queries.repartition(tasks, "cell", "part").join(blocks, ["cell", "part"]).select("queries", "members")
-    found = found.mapInPandas(
-        meet, "x array<double>, tie double, d2 double, id string, nx array<double>"
-    )
+            keys = zip(batch.column("cell").to_pylist(), batch.column("part").to_pylist())
+            for i, key in enumerate(keys):
+                if key != held:
+                    held, x, ids = key, matrix_of(batch, i), batch.column("ids")[i].as_py()
+                every = np.frombuffer(batch.column("queries")[i].as_buffer()).reshape(-1, width + 1)
+                for at in range(0, len(every), STRIP_POINTS):
+                    asked, reach = every[at : at + STRIP_POINTS, :width], every[at : at + STRIP_POINTS, width]
+                    best = _best_per_query(squared_distances(asked, x, n_num, mismatch), reach, ids, need)
+                    if not len(best):
+                        continue
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            _lists(asked[best["q"]]),
+                            pa.array(best["tie"].to_numpy()),
+                            pa.array(best["d2"].to_numpy()),
+                            pa.array(best["id"].tolist(), pa.string()),
+                            _lists(x[best["p"]]),
+                        ],
+                        names=["x", "tie", "d2", "id", "nx"],
+                    )
+
+    found = queries.repartition(tasks, "cell", "part").join(blocks, ["cell", "part"]).select("cell", "part", "queries", "flat", "ids")
+    found = found.mapInArrow(meet, "x array<double>, tie double, d2 double, id string, nx array<double>")
     order = Window.partitionBy("x").orderBy("tie", "id")
     lists = (
         found.withColumn("_r", F.row_number().over(order))

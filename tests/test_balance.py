@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,31 @@ def test_repeated_ids_are_told_apart(spark, train):
     made = out[out.sintetico]
     assert made[NUM].drop_duplicates().shape[0] > 40
     assert sorted(map(tuple, run(1).collect())) == sorted(map(tuple, run(7).collect()))
+
+
+def _pivot_distances(n):
+    """Distances to pivots that placing n clustered points and choosing the cells they meet take."""
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((300, 6)) * 20
+    points = centres[rng.integers(0, 300, n)] + rng.standard_normal((n, 6)) * 0.3
+    pivots = points[: neighbours.pivot_count(n, 1)]
+    tree = neighbours.PivotTree(pivots, 6, 1.0)
+    cell, r = tree.nearest(points)
+    far = neighbours.squared_distances(points[:500], pivots, 6, 1.0)
+    assert np.allclose(np.sqrt(far.min(axis=1)), r[:500]) and (np.sqrt(far[np.arange(500), cell[:500]]) == r[:500]).all()
+    stats = pd.DataFrame({"cell": cell, "r": r}).groupby("cell")["r"].agg(["size", "min", "max"]).reset_index()
+    stats = [{"cell": s["cell"], "points": s["size"], "ids": s["size"], "low": s["min"], "high": s["max"]} for s in stats.to_dict("records")]
+    cells = neighbours._Cells(stats, tree, 2048)
+    for c in np.unique(cell):
+        x = points[cell == c]
+        own = neighbours._own_bound(neighbours.squared_distances(x, x, 6, 1.0), np.ones(len(x)), 6)
+        for _ in cells.targets(x, c, neighbours._within(cells.bounds(x, c, own, 6))):
+            pass
+    return tree.counted
+
+
+def test_pivot_distances_grow_below_points_times_pivots():
+    few, many = _pivot_distances(8_000), _pivot_distances(32_000)
+    print("distances to pivots", few, many, many / few)
+    assert many < 6 * few
+    assert many < 32_000 * neighbours.pivot_count(32_000, 1)
