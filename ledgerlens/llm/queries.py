@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, ranked, repeats, sentencepiece, turns
+from ledgerlens.llm import hnsw, langid, license_scan, lm, pii, ranked, repeats, sentencepiece, turns, url_rules
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.minhash import near_duplicates
 from ledgerlens.llm.quotes import link_quotes
@@ -78,16 +78,24 @@ def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-ORACLES["op6_url_rules"] = r"""
+def _any(words: str) -> str:
+    return "|".join(words.split())
+
+
+_WORDS = " ".join([*url_rules.HOST_WORDS.values(), url_rules.DRUGS])
+_PHARMACY = rf"({_any(url_rules.SELLERS)})-({_any(url_rules.DRUGS)})-pharmacy"
+ORACLES["op6_url_rules"] = rf"""
 WITH cut AS (
   SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0
     THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 parts AS (
   SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h,
-    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^?#]*')) + 1), '^\?[^#]*') AS query FROM cut),
 named AS (
-  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path
-  FROM parts),
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path,
+    translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '/' AS segments,
+    translate(query, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS query FROM parts),
 judged AS (
   SELECT *, '.' || host AS sub, CASE
     WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
@@ -97,6 +105,9 @@ judged AS (
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN regexp_matches(host, '(^|[.-])spam(-[^.]*)?\.|(^|[.-])(cheap|buy|online)-pills[.-]|(^|[.-])casino[.-]|(^|[.])ads[.-]|(^|[.-])adult[.-]|(^|[.-])bets[.-]')
+    OR regexp_matches(host, '(^|[.-])({_any(_WORDS)}|{_PHARMACY})[.-]')
+    OR regexp_matches(segments, '/({_any(" ".join(url_rules.PATH_WORDS.values()))})/')
+    OR regexp_matches(query, '[?&;]({_any(" ".join(url_rules.QUERY_KEYS.values()))})=')
   THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """

@@ -24,6 +24,17 @@ URLS = [
     (15, "https://roads.example.com/"),
     (16, "://"),
     (16, "://"),
+    (17, "http://a.com/x/LOGIN"),
+    (18, "http://a.com/login-help/"),
+    (19, "http://a.com/x?page=1&SessionId=7#sid=1"),
+    (20, "http://a.com/x#?sid=1"),
+    (21, "http://a.com/x?y=1;replytocom=2"),
+    (22, "http://order-viagra-pharmacy.com"),
+    (23, "http://viagra/"),
+    (24, "http://a.com/wp-admin?a=1"),
+    (25, "http://a.com?aff_id=9"),
+    (26, "http://example.net/en/checkout/"),
+    (27, "http://my.torrents.co/fr/"),
     (None, "http://ads.example.com/x"),
 ]
 
@@ -40,7 +51,10 @@ def plain(url):
         if f".{host}".endswith("." + r.rule.split("/", 1)[0]) and path.startswith("/" + r.rule.split("/", 1)[1])
     ]
     best = max(fits, key=lambda r: len(r.rule), default=None)
-    blocked = any(re.search(r.pattern, host + path) for r in ur.PATTERN_RULES)
+    lower = str.maketrans(ur.UPPER, ur.LOWER)
+    query = re.match(r"(?:\?[^#]*)?", rest[len(host) + len(path) :])[0].translate(lower)
+    read = {"host": host + path, "path": path.translate(lower) + "/", "query": query}
+    blocked = any(re.search(r.pattern, read[r.part]) for r in ur.PATTERN_RULES)
     return host, path, best.rule if best else None, best.verdict if best else "block" if blocked else "allow"
 
 
@@ -72,3 +86,24 @@ def test_plan_has_no_python(spark, small):
     df = ur.judge(spark.read.parquet(f"{small}/pages.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "ExistingRDD", "Cartesian", "SortMergeJoin LeftOuter"))
+
+
+def test_several_hundred_rules_and_what_they_read(spark):
+    assert len(ur.PATTERN_RULES) > 250 and len({r.rule for r in ur.PATTERN_RULES}) == len(ur.PATTERN_RULES)
+    verdicts = {i: plain(u)[3] for i, u in URLS if i}
+    assert [verdicts[i] for i in range(17, 28)] == [
+        "block", "allow", "block", "allow", "block", "block", "allow", "block", "block", "allow", "block",
+    ]
+
+
+def test_matches_the_statement(spark, small):
+    import duckdb
+
+    from ledgerlens.llm import queries
+
+    pages = spark.createDataFrame([(k, u) for k, (_, u) in enumerate(URLS)], "page_id long, url string")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = con.execute(queries.ORACLES["op6_url_rules"]).fetchall()
+    got = ur.judge(pages, keep=["page_id"]).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
