@@ -64,6 +64,77 @@ TEMPLATES = (
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
     ("all-rights-reserved", "All rights reserved"),
+    (
+        "mit-conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions"
+        " of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING"
+        " BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN"
+        " NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN"
+        " AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR"
+        " OTHER DEALINGS IN THE SOFTWARE",
+    ),
+    (
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+    ),
+    (
+        "bsd-disclaimer",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+        " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE"
+        " ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,"
+        " INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF"
+        " SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON"
+        " ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)"
+        " ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE",
+    ),
+    (
+        "isc-text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "zlib-text",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held"
+        " liable for any damages arising from the use of this software. Permission is granted to anyone to use this"
+        " software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    ),
+    (
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,"
+        " use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any"
+        " purpose, commercial or non-commercial, and by any means",
+    ),
+    (
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+        " not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    ),
+    (
+        "epl-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"
+        " which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    (
+        "cc0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this"
+        " work",
+    ),
+    # Only the words that tell one licence from its siblings: whole notices of these differ by one word.
+    ("lgpl", "GNU Lesser General Public License"),
+    ("agpl", "GNU Affero General Public License"),
+    ("cc-by-sa-4.0", "Attribution-ShareAlike 4.0 International"),
+    ("cc-by-nc-4.0-text", "Attribution-NonCommercial 4.0 International"),
+    ("cc-by-nd-4.0", "Attribution-NoDerivatives 4.0 International"),
+    ("spdx-mit", "SPDX-License-Identifier: MIT"),
+    ("spdx-apache", "SPDX-License-Identifier: Apache"),
+    ("spdx-bsd", "SPDX-License-Identifier: BSD"),
+    ("spdx-gpl", "SPDX-License-Identifier: GPL"),
+    ("spdx-lgpl", "SPDX-License-Identifier: LGPL"),
+    ("spdx-agpl", "SPDX-License-Identifier: AGPL"),
+    ("spdx-mpl", "SPDX-License-Identifier: MPL"),
+    ("spdx-isc", "SPDX-License-Identifier: ISC"),
 )
 MIN_MATCH = 3
 MAX_GAP = 8

@@ -148,3 +148,20 @@ def test_coverage_is_the_longest_chain(spark):
         if not r["n_base"]:
             assert abs(r["score"] - max(share.values())) < 1e-12
         assert {(s["label"], s["coverage"]) for s in r["license_spans"]} == {(x, share[x]) for x in covered}
+
+
+def test_every_template_is_told_from_the_others(spark):
+    """A notice gets its own label, and no other but those of the phrases it holds."""
+    names = [n for n, _ in ls.TEMPLATES]
+    assert len(set(names)) == len(names)
+    texts = [t for _, t in ls.TEMPLATES] + ["word " * 30 + t + " word" * 30 for _, t in ls.TEMPLATES]
+    for row, name in zip(_scanned(spark, texts), names * 2):
+        assert set(row["labels"].split(",")) - set(row["base_labels"].split(",")) == {name}, (name, row["labels"])
+
+
+def test_whole_files_carry_all_their_parts(spark):
+    rules = dict(ls.TEMPLATES)
+    mit = f"MIT License Copyright (c) 2020 A. Person {rules['mit-text']}, and to permit persons to do so: {rules['mit-conditions']}."
+    bsd = f"Copyright 2019 {rules['bsd-text']}, this list. 3. {rules['bsd-3-clause']}. {rules['bsd-disclaimer']}."
+    rows = _scanned(spark, [mit, bsd, "# SPDX-License-Identifier: LGPL-2.1-only", "license identifier of the software", "GNU General Public License"])
+    assert [r["labels"] for r in rows] == ["mit,mit-conditions,mit-text", "bsd-3-clause,bsd-disclaimer,bsd-text", "spdx-lgpl", "", "gpl"]
