@@ -145,3 +145,61 @@ def test_training_windows_are_bounded(spark):
     assert set(kept) <= set(whole)
     assert all(120 < sum(any(t) == f for _, t in kept) < 280 for f in (True, False))
     assert pairs(pii.bounded(windows)) == whole
+
+
+MATCHES = ["ann.b7@mail3.example.com", "97.51.17.173", "4111111111111111", "+1 (234) 555-7713"]
+
+
+def test_forms_are_beyond_the_patterns():
+    for kind, match in enumerate(MATCHES):
+        for version in range(len(pii._FORMS[kind])):
+            text = f"see {match} today"
+            body, [(start, k, end)] = pii.rewritten(text, [(4, kind, 4 + len(match))], version)
+            assert k == kind and (start, kind, end) not in plain_spans(body)
+            assert body.startswith("see ") and body.endswith(" today")
+            assert pii._plausible(kind, body[start:end])
+            assert pii._snapped(kind, body, start, end) == (start, end)
+
+
+def test_rewritten_texts_keep_what_stands_between():
+    text = "a1@b2.cc, 10.20.30.40; 4111111111111111 x +1 (234) 555-7713"
+    spans = plain_spans(text)
+    for version in range(6):
+        body, made = pii.rewritten(text, spans, version)
+        assert [k for _, k, _ in made] == [k for _, k, _ in spans] and len(made) == 4
+        assert ", " in body and "; " in body and " x " in body
+    assert pii.rewritten("plain", [], 0) == ("plain", [])
+    # The second of two overlapping spans is left out.
+    assert len(pii.rewritten("4111111111111111", [(0, 2, 16), (4, 2, 16)], 0)[1]) == 1
+
+
+def test_spans_are_snapped_and_checked():
+    def spans(text, tagged, kind):
+        points = pii._code_points(text)
+        starts = np.arange(-pii.STRIDE, len(text), pii.STRIDE)
+        tags = np.zeros(len(text), np.int8)
+        tags[slice(*tagged)] = kind + 1
+        return pii.tagged_spans(text, points, starts, pii._cut(tags, starts))
+
+    assert spans("on 234.555.7713 it", (4, 14), 3) == [(3, 3, 15)]
+    assert spans("on 2345557713 it", (3, 13), 3) == []  # digits without groups or plus sign
+    assert spans("4111111111111111 12", (0, 16), 2) == [(0, 2, 16)]
+    assert spans("4111111111111112 12", (0, 16), 2) == []
+    assert spans("41111111111111111234 ", (0, 16), 2) == []  # not a part of a longer number
+    assert spans("x 1 . 2 . 3 . 4, y", (1, 16), 1) == [(2, 1, 15)]
+    assert spans("x 1 2 3 4 y", (2, 9), 1) == []
+    assert spans("to ann @ b.cc. So", (3, 14), 0) == [(3, 0, 13)]
+    assert spans("to ann @ bcc So", (3, 12), 0) == []
+
+
+def test_rewritten_spans_of_other_documents_are_found(spark):
+    from pyspark.sql import functions as F
+
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = pii.fit(documents.where(fold != 1))
+    rows = {r["kind"]: r for r in pii.rewritten_recall(documents.where(fold == 1), model).collect()}
+    for kind in pii.KINDS:
+        assert rows[kind]["made"] >= 25 and rows[kind]["found"] >= 0.9 * rows[kind]["made"]
+        assert rows[kind]["others"] <= 2
+    assert {r["found"] for r in pii.rewritten_recall(documents.where(fold == 1), None).collect()} == {0}
