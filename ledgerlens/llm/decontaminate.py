@@ -258,8 +258,8 @@ def decontaminate(
 
     Null or word-less texts have no words and no hits; a null or word-less item has no windows; an
     item without id covers words but is not listed; items with one id count once; repeated
-    document rows each get their own row; a column named like an added one is replaced; empty
-    tables give no hits or no rows."""
+    document rows each get their own row; texts of any length are read whole; a column named like
+    an added one is replaced; empty tables give no hits or no rows."""
     keep = docs.columns if keep is None else keep
     following = blocks(benchmark, item_id, item_text, window, block_words)
     block, out = next(following), None

@@ -355,8 +355,10 @@ def _breaks(vocabulary: Vocabulary) -> np.ndarray:
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """One row per input row: the ``keep`` columns (all by default) and ``ids``.
 
-    A null or empty text has no ids. The space mark U+2581 in a text counts as a space. Characters without a piece become their bytes. A column named
-    ``ids`` is replaced."""
+    A null or empty text has no ids. The space mark U+2581 in a text counts as a space. Characters
+    without a piece become their bytes. Texts of any length are encoded whole; repeated rows each
+    get their own row; an empty table gives none. Where two ways to join pieces tie, the leftmost
+    is taken, as the library does. A column named ``ids`` is replaced."""
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
     breaks, name = _breaks(vocabulary), uuid.uuid4().hex
 
