@@ -42,21 +42,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item, whatever their length. Null and
+    word-less texts hold none and stay, and so do all rows where no item has words; repeated rows
+    go or stay together; an empty table stays empty."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     numbered, names, back = _numbered(docs)
     return decontaminate.decontaminate(numbered, items, text=names["text"]).where("n_hit = 0").select(*back)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by marks and counts the characters anew."""
+    """Replaces personal data by marks and counts the characters anew. A null text stays null, with
+    a null count; repeated rows are masked alike; an empty table stays empty."""
     columns = docs.columns
     done = pii.mask(docs, pii.fit(docs))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document, with what is known about it."""
+    """Piece ids of each document, with what is known about it. A null or empty text has no ids and
+    0 tokens; repeated rows each have their own; an empty table gives no rows."""
     keep = [c for c in docs.columns if c != "text"]
     encoded = sentencepiece.encode(docs, sentencepiece.load_vocabulary(), keep=keep)
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
