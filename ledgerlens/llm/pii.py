@@ -294,6 +294,10 @@ def training_windows(docs: DataFrame, text: str = "text", sample: int = TRAINING
         f"t is not null and pmod(xxhash64(t), 1000000) < {share * 1_000_000:.0f}"
     )
 
+    def packed(rows):
+        columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, names=["codes", "tags"])
+
     def label(batches):
         for batch in batches:
             for _, _, data, offsets in tx.slices(batch.column(0)):
@@ -307,9 +311,11 @@ def training_windows(docs: DataFrame, text: str = "text", sample: int = TRAINING
                         starts = _window_starts(_triggers(points))
                         both = _cut(encode(points).astype(np.int8), starts), _cut(tags, starts)
                         rows += [(c.tobytes(), t.tobytes()) for c, t in zip(*both, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], names=["codes", "tags"]
-                )
+                        # A long text is not held with its rewritten copies.
+                        if len(rows) >= 50_000:
+                            yield packed(rows)
+                            rows = []
+                yield packed(rows)
 
     return chosen.mapInArrow(label, "codes binary, tags binary").distinct()
 
