@@ -148,3 +148,38 @@ def test_pivot_distances_grow_below_points_times_pivots():
     print("distances to pivots", few, many, many / few)
     assert many < 6 * few
     assert many < 32_000 * neighbours.pivot_count(32_000, 1)
+
+
+def _met_per_point(n):
+    """Points that a point meets, on evenly filled dimensions, where pivots pruned little."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.random((n, 5)), rng.integers(0, 4, (n, 2))])
+    cuts = neighbours.grown_cuts(x[::4], 5, 0.5, 32)
+    parts = [np.flatnonzero(cuts.cell(x) == c) for c in np.unique(cuts.cell(x))]
+    sizes = np.array([len(p) for p in parts])
+    cells = neighbours.BoxCells(neighbours.Boxes.around(x, parts, 5, 0.5), sizes, np.ones(len(parts), int))
+    met, some = 0, parts[:: len(parts) // 20]
+    for p in some:
+        own = neighbours._own_bound(neighbours.squared_distances(x[p], x[p], 5, 0.5), np.ones(len(p)), 6)
+        reach = neighbours._within(cells.bounds(x[p], own, 6))
+        for c, rows in cells.targets(x[p], reach):
+            block = neighbours.Block(x[parts[c]], [], 5, 0.5)
+            d2 = block.distances(x[p][rows], reach[rows])
+            met += np.isfinite(d2).sum()
+            near = neighbours.squared_distances(x[p][rows], x[parts[c]], 5, 0.5) <= np.square(reach[rows])[:, None]
+            assert np.isfinite(d2[near]).all()
+    return met / sum(len(p) for p in some)
+
+
+def test_points_met_grow_slower_than_the_points():
+    few, many = _met_per_point(8_000), _met_per_point(64_000)
+    print("points met by a point", few, many)
+    assert many < 2 * few and many < 64_000 / 20
+
+
+def test_rows_with_a_missing_coordinate_have_no_neighbours(spark):
+    rows = make_rows(60)
+    odd = [("odd1", None, 0.5, 1.0), ("odd2", 0.5, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows + odd, "id string, a double, b double, c double")
+    got = k_nearest(df, NUM, CAT, 0.7, 5, "id", block_points=8, cell_points=10)
+    assert {r["id"]: [v["id"] for v in r["vizinhos"]] for r in got.collect()} == brute_force(rows, 0.7, 5)
