@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
@@ -61,6 +61,15 @@ def ingest_available(
     return tables.read_by_month(spark, output).select(*schemas.SILVER.names)
 
 
+def key_digest(rows: DataFrame, keys: Sequence[str]) -> Column:
+    """SHA-256 of the keys, each with its length, so that no two lists of values share a text; nulls
+    are equal to one another, as are the two zeros."""
+    numbers = {f.name for f in rows.schema if f.dataType.typeName() in ("double", "float")}
+    texts = [(F.col(k) + 0.0 if k in numbers else F.col(k)).cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 def ingest_first(
     spark: SparkSession,
     landing: str,
@@ -77,7 +86,8 @@ def ingest_first(
     The keys are keyed state of the stream, remembered for that long after their file's arrival. The
     watermark is on the arrival of files, which are read in that order, so no row comes too late,
     however old its event. State is bounded by the distinct keys that arrive within the time: about
-    the bytes of the keys and 100 more each, spread over the shuffle partitions. Of rows with equal
+    the bytes of the key and 100 more each, spread over the shuffle partitions; several keys are
+    remembered as one SHA-256 of 32 bytes (``key_digest``). Of rows with equal
     keys in one micro-batch any one stays; give all columns as keys to drop equal rows only."""
 
     def write(batch: DataFrame, number: int) -> None:
@@ -85,10 +95,12 @@ def ingest_first(
 
     arriving = arriving_transactions(spark, landing, max_files)
     stamped = arriving.select("*", F.col("_metadata.file_modification_time").alias("_chegada"))
+    if len(keys) > 1:
+        stamped, keys = stamped.withColumn("_chave", key_digest(stamped, keys)), ["_chave"]
     query = (
         stamped.withWatermark("_chegada", remembered)
         .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_chegada")
+        .drop("_chegada", "_chave")
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
