@@ -262,3 +262,20 @@ def test_clustered_nulls_and_empty(spark, folder):
     assert sorted(r["trans_num"] for r in spark.read.parquet(f"{folder}/t").collect()) == [1, 2, 3, 4, 5]
     tables.overwrite_clustered(rows.limit(0), f"{folder}/e")
     assert tables.read_by_month(spark, f"{folder}/e", schema=rows.schema).count() == 0
+
+
+def test_key_digests_tell_lists_of_keys_apart(spark):
+    rows = [("ab", "c", 0.0), ("a", "bc", 0.0), (None, "-", 0.0), ("-", None, 0.0), (None, "-", -0.0), ("ab", "c", 0.0)]
+    df = spark.createDataFrame(rows, "a string, b string, x double")
+    found = [bytes(r[0]) for r in df.select(ingest.key_digest(df, df.columns)).collect()]
+    assert all(len(f) == 32 for f in found)
+    assert len(set(found)) == 4 and found[0] == found[5] and found[2] == found[4]
+
+
+def test_landing_files_are_written_by_many_tasks(spark, small, monkeypatch):
+    """Neither a year of the stream nor the file that grows is written by one task."""
+    tasks, land = [], registry.land
+    monkeypatch.setattr(registry, "land", lambda rows, path: (tasks.append(rows.rdd.getNumPartitions()), land(rows, path)))
+    assert registry.QUERIES["stream_monthly"](spark, small).count() > 0
+    assert registry.QUERIES["etl_incremental"](spark, small).count() > 0
+    assert len(tasks) > 5 and min(tasks) > 1
