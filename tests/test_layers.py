@@ -278,3 +278,19 @@ def test_jobs_refuse_another_time_zone(spark, small):
         assert spark.conf.get("spark.sql.session.timeZone") == "Europe/Lisbon"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_landing_files_may_be_compressed(spark, folder):
+    """Compressed files are loaded like others, and one that grew under its name is loaded anew."""
+    rows = fixture.transactions(spark, "/root/testdata/sf0.001")
+    cfg = etl.EtlConfig(folder, f"{folder}/landing")
+    rows.where("row_id % 2 = 0").write.csv(f"{folder}/landing/a", header=True, compression="gzip")
+    rows.where("row_id % 2 = 1").write.csv(f"{folder}/landing/b", header=True)
+    etl.run_incremental(spark, cfg)
+    assert etl.read_loaded(spark, cfg).count() == rows.count()
+    assert etl.run_incremental(spark, cfg).count() == 0
+
+
+def test_model_gbt_trains_every_booster(monkeypatch):
+    monkeypatch.setattr(registry, "_trained", lambda spark, sf, names: names)
+    assert sorted(registry.QUERIES["model_gbt"](None, "")) == sorted(models.BOOSTED)
