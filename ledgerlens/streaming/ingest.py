@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens.operators.quality import dedup_latest
-from ledgerlens.plans.etl import to_silver
+from ledgerlens.plans.etl import to_silver, write_silver
 from ledgerlens.sources import tables
 
 
@@ -46,9 +46,10 @@ def ingest_available(
         if bronze:
             tables.overwrite(batch, f"{bronze}/lote={number}")
             batch = spark.read.schema(schemas.TRANSACTIONS).parquet(f"{bronze}/lote={number}")
-        silver = to_silver(batch, salt=salt)
-        silver = dedup_latest(silver) if deduplicate else silver
-        tables.overwrite_by_month(silver, f"{output}/lote={number}")
+        if deduplicate:
+            tables.overwrite_by_month(dedup_latest(to_silver(batch, salt=salt)), f"{output}/lote={number}")
+        else:
+            write_silver(batch, f"{output}/lote={number}", salt)
 
     query = (
         arriving_transactions(spark, landing, max_files)
@@ -91,7 +92,7 @@ def ingest_first(
     keys in one micro-batch any one stays; give all columns as keys to drop equal rows only."""
 
     def write(batch: DataFrame, number: int) -> None:
-        tables.overwrite_by_month(to_silver(batch, salt=salt), f"{output}/lote={number}")
+        write_silver(batch, f"{output}/lote={number}", salt)
 
     arriving = arriving_transactions(spark, landing, max_files)
     stamped = arriving.select("*", F.col("_metadata.file_modification_time").alias("_chegada"))
