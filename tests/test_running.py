@@ -56,3 +56,16 @@ def test_hash_ranks_are_positions_in_hash_order(spark, size):
         for r in sorted(got, key=lambda r: r["d"]):
             groups.setdefault(r["g"] if by else "", []).append(r["rank"])
         assert all(g == list(range(1, len(g) + 1)) for g in groups.values()) and len(got) == 700
+
+
+def test_ranks_are_taken_on_several_cores(spark):
+    rows = spark.range(2000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("d"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        ranked = hash_ranks(rows, F.col("d"), [F.col("id")]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(setting, kept)
+    assert [r["rank"] for r in sorted(ranked, key=lambda r: r["d"])] == list(range(1, 2001))
+    assert len({r["task"] for r in ranked}) > 2
