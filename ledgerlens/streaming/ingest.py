@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,19 @@ def arriving_transactions(
     return reader.csv(landing)
 
 
+@contextmanager
+def _adaptive(batch: DataFrame) -> Iterator[None]:
+    """Adaptive execution for the writes of a micro-batch. A stream with state turns it off in its own
+    session, and without it the month layout is not rebalanced: every task would write a file a month."""
+    conf, key = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def ingest_available(
     spark: SparkSession,
     landing: str,
@@ -46,10 +60,11 @@ def ingest_available(
         if bronze:
             tables.overwrite(batch, f"{bronze}/lote={number}")
             batch = spark.read.schema(schemas.TRANSACTIONS).parquet(f"{bronze}/lote={number}")
-        if deduplicate:
-            tables.overwrite_by_month(dedup_latest(to_silver(batch, salt=salt)), f"{output}/lote={number}")
-        else:
-            write_silver(batch, f"{output}/lote={number}", salt)
+        with _adaptive(batch):
+            if deduplicate:
+                tables.overwrite_by_month(dedup_latest(to_silver(batch, salt=salt)), f"{output}/lote={number}")
+            else:
+                write_silver(batch, f"{output}/lote={number}", salt)
 
     query = (
         arriving_transactions(spark, landing, max_files)
@@ -92,7 +107,8 @@ def ingest_first(
     keys in one micro-batch any one stays; give all columns as keys to drop equal rows only."""
 
     def write(batch: DataFrame, number: int) -> None:
-        write_silver(batch, f"{output}/lote={number}", salt)
+        with _adaptive(batch):
+            write_silver(batch, f"{output}/lote={number}", salt)
 
     arriving = arriving_transactions(spark, landing, max_files)
     stamped = arriving.select("*", F.col("_metadata.file_modification_time").alias("_chegada"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import pathlib
 import shutil
 
 import pytest
@@ -294,3 +295,17 @@ def test_landing_files_may_be_compressed(spark, folder):
 def test_model_gbt_trains_every_booster(monkeypatch):
     monkeypatch.setattr(registry, "_trained", lambda spark, sf, names: names)
     assert sorted(registry.QUERIES["model_gbt"](None, "")) == sorted(models.BOOSTED)
+
+
+def test_stateful_batches_write_few_files_a_month(spark, folder):
+    fields = [F.lit("1").try_cast(f.dataType).alias(f.name) for f in schemas.TRANSACTIONS]
+    rows = spark.range(960).select(*fields, "id").withColumns({
+        "trans_num": F.col("id").cast("string"), "trans_time": F.lit("00:00:00"), "dob": F.lit("1980-01-01"),
+        "trans_date": F.concat(F.lit("2020-"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0"), F.lit("-05")),
+    }).drop("id")
+    rows.repartition(4).write.csv(f"{folder}/landing", header=True)
+    found = ingest.ingest_first(spark, f"{folder}/landing", f"{folder}/silver", f"{folder}/checkpoint", max_files=2)
+    assert found.count() == found.select("trans_num").distinct().count() == 960
+    files = [p.parent for p in pathlib.Path(folder, "silver").rglob("*.parquet")]
+    # Two micro-batches of twelve months; eight tasks with state would each write a file a month.
+    assert len(files) <= 48 and len(set(files)) == 24
