@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
-from ledgerlens.operators.quality import dedup_latest
-from ledgerlens.plans.etl import to_silver, write_silver
+from ledgerlens.plans.etl import latest, to_silver, write_silver
 from ledgerlens.sources import tables
 
 
@@ -62,7 +61,7 @@ def ingest_available(
             batch = spark.read.schema(schemas.TRANSACTIONS).parquet(f"{bronze}/lote={number}")
         with _adaptive(batch):
             if deduplicate:
-                tables.overwrite_by_month(dedup_latest(to_silver(batch, salt=salt)), f"{output}/lote={number}")
+                tables.overwrite_by_month(latest(to_silver(batch, salt=salt)), f"{output}/lote={number}")
             else:
                 write_silver(batch, f"{output}/lote={number}", salt)
 

@@ -6,6 +6,7 @@ import json
 import os
 import pathlib
 import shutil
+import time
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens.operators import features, models, quality, sampling, stats
 from ledgerlens.plans import etl, registry, retrain
+from ledgerlens.session import materialise, new_folder
 from ledgerlens.sources import fixture, landing, tables
 from ledgerlens.streaming import ingest, scoring
 
@@ -309,3 +311,45 @@ def test_stateful_batches_write_few_files_a_month(spark, folder):
     files = [p.parent for p in pathlib.Path(folder, "silver").rglob("*.parquet")]
     # Two micro-batches of twelve months; eight tasks with state would each write a file a month.
     assert len(files) <= 48 and len(set(files)) == 24
+
+
+def _shuffle_files(spark):
+    # The folder that the session really uses: the manager's environment may overrule spark.local.dir.
+    made = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for d in made for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_written_frames_leave_no_shuffle_files(spark, folder):
+    before = _shuffle_files(spark)
+    rows = spark.range(5000).select((F.col("id") % 977).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("customer_hash"))
+    kept = quality.dedup_latest(rows, "k", ())
+    assert materialise(kept).count() == 977
+    tables.overwrite(kept, f"{folder}/a")
+    tables.overwrite_by_month(kept.withColumn("event_time", F.timestamp_seconds("k")), f"{folder}/b")
+    tables.publish(kept, f"{folder}/c")
+    registry.land(kept, f"{folder}/d")
+    assert spark.read.parquet(f"{folder}/a").count() == spark.read.csv(f"{folder}/d", header=True).count() == 977
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    # Counting rows that were read back shuffles a few bytes; no written frame is left.
+    assert sum(p.stat().st_size for p in left) < 5000
+
+
+def test_latest_silver_rows_are_those_of_the_plain_maximum(spark):
+    at = F.timestamp_seconds(1_600_000_000 + F.col("id") % 3)
+    hashed = F.when(F.col("id") % 11 != 0, F.sha2((F.col("id") % 7).cast("string"), 256))
+    rows = spark.range(600).select((F.col("id") % 40).alias("trans_num"), hashed.alias("customer_hash"), at.alias("event_time"), (F.col("id") % 5).alias("amt"))
+    want = quality.dedup_latest(rows).orderBy("trans_num").collect()
+    got = etl.latest(rows)
+    assert got.columns == rows.columns and got.orderBy("trans_num").collect() == want
+    # The shuffle carries bytes, not digits.
+    assert "lower(hex(" in plan(got).split("Exchange hashpartitioning")[0]
+
+
+def test_landing_files_of_the_source_queries_are_compressed(spark, small, monkeypatch):
+    made = []
+    monkeypatch.setattr(registry, "new_folder", lambda s, name: made.append(new_folder(s, name)) or made[-1])
+    registry.QUERIES["ingest_transactions_csv"](spark, small)
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(made[0]).inputFiles())
