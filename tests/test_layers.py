@@ -212,6 +212,14 @@ def test_failing_model_does_not_stop_the_others(trained):
     assert scored.select("modelo").distinct().count() == 1
 
 
+@pytest.mark.parametrize("name, few", [("regressao_logistica", {"maxIter": 5}), ("random_forest", {"numTrees": 3})])
+def test_fitted_models_leave_their_summary_behind(trained, name, few):
+    encoding, balanced, test = trained[:3]
+    fitted = models.fit_model(name, balanced, encoding, **few)
+    assert not fitted.stages[-1].hasSummary
+    assert materialise(models.score(encoding.apply(test), fitted, ["is_fraud"])).count() == test.count()
+
+
 def test_boosted_models_save_and_load(spark, trained, folder):
     encoding, balanced, test = trained
     for name, params in (("adaboost", {"maxIter": 3}), ("xgboost", {"maxIter": 2})):
